@@ -39,11 +39,8 @@ def truncate(c, n: int = MAX_MESSAGE_LENGTH) -> Column:
 
 def _nfkd_batch(s: pd.Series) -> pd.Series:
     # ASCII text is already NFKD: only the rest pays for Python.
-    out = s.copy()
-    mask = s.notna() & ~s.fillna("").str.isascii()
-    if mask.any():
-        out[mask] = [unicodedata.normalize("NFKD", x) for x in s[mask]]
-    return out
+    return pd.Series([x if x is None or x.isascii() else unicodedata.normalize("NFKD", x) for x in s],
+                     index=s.index, dtype=object)
 
 
 nfkd = F.pandas_udf(_nfkd_batch, T.StringType())

@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from logsift.plans import profile_queries  # noqa: F401
+from logsift.plans import clean_queries  # noqa: F401
