@@ -119,7 +119,8 @@ RECORD_DEFAULTS = {
 }
 
 
-def normalise_record(df: DataFrame, ts_col: str = "timestamp", server_col: str = "server_id") -> DataFrame:
+def normalise_record(df: DataFrame, ts_col: str = "timestamp", server_col: str = "server_id",
+                     keep: Iterable[str] = ()) -> DataFrame:
     """Stream record shape: defaults, trims, numeric casts, int truncation."""
     def s(name):
         src = F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
@@ -131,6 +132,7 @@ def normalise_record(df: DataFrame, ts_col: str = "timestamp", server_col: str =
         return (v if kind == "double" else v.cast("long")).alias(name)
 
     return df.select(
+        *[F.col(k) for k in keep],
         F.col(ts_col).alias("timestamp"),
         F.col(server_col).alias("server_id"),
         s("log_level"), s("message"), s("pod_name"), s("namespace"), s("node_name"),

@@ -4,3 +4,4 @@ from logsift.plans import profile_queries  # noqa: F401
 from logsift.plans import clean_queries  # noqa: F401
 from logsift.plans import label_queries  # noqa: F401
 from logsift.plans import dashboard_queries  # noqa: F401
+from logsift.plans import source_queries  # noqa: F401

@@ -96,12 +96,17 @@ def write_report(metrics: DataFrame, path: str, group_col: str = "section") -> N
 
 # --- Kafka-shaped frames (A9, A10, A12, A13) ---------------------------------
 
-def to_kafka_frame(df: DataFrame, key: str, ignore_null_fields: bool = False) -> DataFrame:
-    """(key, value) with the record as a JSON object; nulls kept by default."""
+def record_json(cols: Sequence[str], ignore_null_fields: bool = False) -> Column:
+    """JSON object text of the given columns; nulls kept by default."""
     opts = {"ignoreNullFields": "true" if ignore_null_fields else "false"}
-    cols = [c for c in df.columns]
-    return df.select(F.col(key).cast("string").alias("key"),
-                     F.to_json(F.struct(*cols), opts).alias("value"))
+    return F.to_json(F.struct(*cols), opts)
+
+
+def to_kafka_frame(df: DataFrame, key: str, ignore_null_fields: bool = False,
+                   exclude_key: bool = False) -> DataFrame:
+    """(key, value) with the record as a JSON object."""
+    cols = [c for c in df.columns if not (exclude_key and c == key)]
+    return df.select(F.col(key).cast("string").alias("key"), record_json(cols, ignore_null_fields).alias("value"))
 
 
 def from_kafka_frame(df: DataFrame, schema: T.StructType | str, keep_corrupt: bool = True) -> DataFrame:
