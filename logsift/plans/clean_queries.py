@@ -384,6 +384,32 @@ def q_quality_gates(spark, sf):
     return quality_gates(cleaned(spark, sf).summary)
 
 
+@query("gate_recommendations", with_views(f"""
+SELECT gate, CASE gate WHEN 'retention_rate' THEN 'Review the drop rules: too many rows removed'
+                       WHEN 'missing_rate' THEN 'Investigate sources of missing values'
+                       WHEN 'duplicate_rate' THEN 'Deduplicate upstream'
+                       ELSE 'Check outlier sources and capping' END AS recommendation
+FROM g WHERE NOT ((op = '>=' AND v >= threshold) OR (op = '<=' AND v <= threshold))
+UNION ALL
+SELECT NULL, 'All quality gates passed'
+WHERE (SELECT count(*) FROM g WHERE NOT ((op = '>=' AND v >= threshold) OR (op = '<=' AND v <= threshold))) = 0""",
+    "dup_logs", more=_cc[0] + ",\ns AS (SELECT metric, CAST(value AS DOUBLE) AS value FROM (" + _summary_body + """) x),
+g AS (SELECT * FROM (VALUES
+  ('retention_rate', (SELECT value FROM s WHERE metric = 'final_rows') * 100.0
+                      / (SELECT value FROM s WHERE metric = 'initial_rows'), 95.0, '>='),
+  ('missing_rate', (SELECT value FROM s WHERE metric = 'missing_filled') * 100.0
+                    / (SELECT value FROM s WHERE metric = 'initial_rows'), 5.0, '<='),
+  ('duplicate_rate', (SELECT value FROM s WHERE metric = 'duplicates_removed') * 100.0
+                      / (SELECT value FROM s WHERE metric = 'initial_rows'), 5.0, '<='),
+  ('outlier_rate', (SELECT value FROM s WHERE metric = 'outliers_detected') * 100.0
+                    / (SELECT value FROM s WHERE metric = 'initial_rows'), 1.0, '<='))
+  v(gate, v, threshold, op))"""))
+def q_gate_recommendations(spark, sf):
+    """One recommendation per failing gate, or the all-clear line."""
+    from logsift.operators.report import gate_recommendations, quality_gates
+    return gate_recommendations(quality_gates(cleaned(spark, sf).summary))
+
+
 @query("cleaning_summary", with_views(f"""
 SELECT b."column", b.missing_before, coalesce(a.missing_after, 0) AS missing_after FROM
  (SELECT "column", missing_before FROM ({{before}}) x) b
@@ -405,11 +431,29 @@ def q_cleaning_summary(spark, sf):
 
 # --- J1-J6 -------------------------------------------------------------------------
 
-def _validate_sql():
+def _validate_sql(strict: bool = False):
     parts = []
     src = "logs"
     for r in K8S_LOG:
         c = f'"{r.name}"'
+        if strict:
+            if not r.nullable:
+                parts.append(f"""SELECT '{r.name}' AS field, 'not_null' AS rule, n AS invalid_count,
+  CAST(NULL AS VARCHAR) AS sample, 'Field ''{r.name}'': ' || n || ' null values' AS message FROM (SELECT count(*) AS n FROM {src} WHERE {c} IS NULL) t WHERE n > 0""")
+            if r.min_len is not None or r.max_len is not None:
+                conds = []
+                if r.min_len is not None:
+                    conds.append(f"length({c}) >= {r.min_len}")
+                if r.max_len is not None:
+                    conds.append(f"length({c}) <= {r.max_len}")
+                parts.append(f"""SELECT '{r.name}', 'length', n, CAST(NULL AS VARCHAR),
+  'Field ''{r.name}'': ' || n || ' values outside length bounds'
+FROM (SELECT count(*) AS n FROM {src} WHERE {c} IS NOT NULL AND NOT ({' AND '.join(conds)})) t WHERE n > 0""")
+            if r.pattern is not None and r.name != "pod_name":
+                pat = r.pattern.lstrip("^").rstrip("$")
+                parts.append(f"""SELECT '{r.name}', 'pattern', n, CAST(NULL AS VARCHAR),
+  'Field ''{r.name}'': ' || n || ' values do not match the pattern'
+FROM (SELECT count(*) AS n FROM {src} WHERE {c} IS NOT NULL AND NOT regexp_full_match({c}, '{pat}')) t WHERE n > 0""")
         if r.allowed is not None:
             vals = ", ".join(repr(v) for v in r.allowed)
             bad = f"NOT coalesce({c} IN ({vals}), false)"
@@ -442,6 +486,12 @@ FROM (SELECT count(*) AS n FROM {src} WHERE NOT coalesce({ns}, false)) t WHERE n
     return with_views("\nUNION ALL\n".join(parts), "logs")
 
 
+@query("validate_contract_strict", _validate_sql(strict=True))
+def q_validate_contract_strict(spark, sf):
+    """J5 strict: adds not-null, length (B11) and node-name pattern checks the documents promise."""
+    return V.validate(logs(spark, sf), K8S_LOG, pos_col="log_id", strict=True)
+
+
 @query("validate_contract", _validate_sql())
 def q_validate_contract(spark, sf):
     """Every contract check in one aggregate; samples in first-seen order."""

@@ -182,6 +182,17 @@ def _latest_version(spark: SparkSession, path: str, before: int | None = None) -
     return None if mx is None else df.where(F.col("batch_id") == mx).drop("batch_id")
 
 
+def _previous_alerts(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """The previous batch's newest-50 partition, read by its exact path (no
+    listing of every version); None before the first batch."""
+    if batch_id == 0:
+        return None
+    try:
+        return spark.read.parquet(f"{path}/batch_id={batch_id - 1}")
+    except Exception:  # noqa: BLE001 - previous batch wrote nothing
+        return _latest_version(spark, path, before=batch_id)
+
+
 def make_batch_writer(tables: Tables):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -191,7 +202,7 @@ def make_batch_writer(tables: Tables):
             _write_partition(anoms, tables.anomalies, batch_id)
             _write_partition(status_partials(b), tables.status, batch_id)
             _write_partition(hourly_partials(b), tables.hourly, batch_id)
-            prev = _latest_version(spark, tables.alerts, before=batch_id)
+            prev = _previous_alerts(spark, tables.alerts, batch_id)
             pool = anoms if prev is None else prev.unionByName(anoms)
             latest = pool.orderBy(F.desc("timestamp"), F.desc("log_id")).limit(ALERTS_KEPT)
             _write_partition(latest, tables.alerts, batch_id)
