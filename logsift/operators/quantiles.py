@@ -88,22 +88,51 @@ def quantile_long(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
 # --- rank selection ----------------------------------------------------------
 
 def _rank_select(df: DataFrame, cols: list[str], ps: list[float]) -> dict[str, list]:
+    def ranks_of(n_total):
+        out = set()
+        for p in ps:
+            pos = p * (n_total - 1)
+            out.update((math.floor(pos), math.ceil(pos)))
+        return out
+
+    stats, wanted = _select_ranks(df, cols, ranks_of)
+    out: dict[str, list] = {}
+    for c in cols:
+        if c not in stats:
+            out[c] = [None] * len(ps)
+            continue
+        n_total = stats[c]["N"]
+        res = []
+        for p in ps:
+            pos = p * (n_total - 1)
+            lo_r, hi_r = math.floor(pos), math.ceil(pos)
+            a, b = wanted[(c, lo_r)], wanted[(c, hi_r)]
+            res.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
+        out[c] = res
+    return out
+
+
+def value_at_rank(df: DataFrame, col: str, rank: int) -> float | None:
+    """Exact value of 0-based ``rank`` in ascending order of a numeric column
+    (nulls ignored), by distributed rank selection; None if out of range."""
+    stats, wanted = _select_ranks(df, [col], lambda n: {rank} if 0 <= rank < n else set())
+    return wanted.get((col, rank))
+
+
+def _select_ranks(df: DataFrame, cols: list[str], ranks_of) -> tuple[dict, dict]:
     spark = df.sparkSession
     vc = (unpivot_numeric(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
           .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         stats = {r["column"]: r for r in vc.groupBy("column").agg(
             F.sum("n").alias("N"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        # wanted ranks (0-based): floor and ceil of p * (N - 1)
+        # wanted 0-based ranks per column
         wanted: dict[tuple[str, int], float | None] = {}
         for c in cols:
             if c not in stats:
                 continue
-            n_total = stats[c]["N"]
-            for p in ps:
-                pos = p * (n_total - 1)
-                wanted[(c, math.floor(pos))] = None
-                wanted[(c, math.ceil(pos))] = None
+            for r in ranks_of(stats[c]["N"]):
+                wanted[(c, r)] = None
         # state per target: (lo, hi, count strictly below lo)
         state = {k: (stats[k[0]]["lo"], stats[k[0]]["hi"], 0) for k in wanted}
         while True:
@@ -159,20 +188,7 @@ def _rank_select(df: DataFrame, cols: list[str], ps: list[float]) -> dict[str, l
                         acc += r["n"]
     finally:
         vc.unpersist()
-    out: dict[str, list] = {}
-    for c in cols:
-        if c not in stats:
-            out[c] = [None] * len(ps)
-            continue
-        n_total = stats[c]["N"]
-        res = []
-        for p in ps:
-            pos = p * (n_total - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = wanted[(c, lo_r)], wanted[(c, hi_r)]
-            res.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
-        out[c] = res
-    return out
+    return stats, wanted
 
 
 def median_values(df: DataFrame, cols: Iterable[str], method: str | None = None) -> dict[str, float | None]:

@@ -80,3 +80,19 @@ def test_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert quantile_values(df, ["x"], [0.5], "rank")["x"] == [None]
     assert quantile_values(df, ["x"], [0.5], "map")["x"] == [None]
+
+
+def test_value_at_rank(spark):
+    df = _df(spark, [5, 1, 1, 3, 9, 7])
+    from logsift.operators.quantiles import value_at_rank
+    assert [value_at_rank(df, "x", r) for r in range(6)] == [1.0, 1.0, 3.0, 5.0, 7.0, 9.0]
+    assert value_at_rank(df, "x", 6) is None
+
+
+def test_sample_n_equals_md5_order(spark):
+    from logsift.operators.label import sample_n
+    orders = spark.read.parquet(f"{SF001}/orders.parquet").select("o_orderkey")
+    got = sorted(r[0] for r in sample_n(orders, 1234, "o_orderkey").collect())
+    exp = sorted(r[0] for r in orders.orderBy(F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit("-42"))))
+                 .limit(1234).collect())
+    assert got == exp
