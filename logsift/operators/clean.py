@@ -112,8 +112,9 @@ def plan_missing(df: DataFrame, contract: Contract = K8S_LOG, critical: Sequence
         sub = df.where(alive_expr(drops))
         nums = [f for f in fs if contract.get(f).numeric]
         strs = [f for f in fs if f not in nums]
+        rows_here = sum(c for p, c in pats if not any(p[idx[d]] for d in drops))
         if nums:
-            med = quantile_values(sub, nums, [0.5])
+            med = quantile_values(sub, nums, [0.5], max_rows=rows_here)
             fills.update({f: med[f][0] for f in nums})
         if strs:
             fills.update(mode_values(sub, strs, default="unknown"))
@@ -132,9 +133,9 @@ def apply_missing(df: DataFrame, plan: MissingPlan) -> DataFrame:
 # --- I6, H16-H18: outliers ------------------------------------------------------
 
 def outlier_bounds(df: DataFrame, fields: Sequence[str], k: float = OUTLIER_K_CLEANING,
-                   guard: bool = True) -> dict[str, dict]:
+                   guard: bool = True, max_rows: int | None = None) -> dict[str, dict]:
     fields = [f for f in fields if f in df.columns and isinstance(df.schema[f].dataType, NUMERIC)]
-    qs = quantile_values(df, fields, [0.25, 0.75])
+    qs = quantile_values(df, fields, [0.25, 0.75], max_rows=max_rows)
     out = {}
     for f in fields:
         q1, q3 = qs[f]
@@ -152,12 +153,12 @@ def outlier_flags(bounds: dict[str, dict]) -> dict[str, Column]:
 
 
 def cap_outliers(df: DataFrame, fields: Sequence[str] = OUTLIER_FIELDS, k: float = OUTLIER_K_CLEANING,
-                 guard: bool = True):
+                 guard: bool = True, max_rows: int | None = None):
     """Cap numeric fields at their IQR bounds when they have outliers.
 
     Returns (frame, log rows [(field, count, pct, method)]); one count pass.
     """
-    bounds = outlier_bounds(df, fields, k, guard)
+    bounds = outlier_bounds(df, fields, k, guard, max_rows)
     flags = outlier_flags(bounds)
     if not flags:
         return df, []
@@ -244,7 +245,7 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     step4 = step4.persist(StorageLevel.MEMORY_AND_DISK)
     n4 = step4.count()
     # outliers (I6)
-    step5, out_log = cap_outliers(step4, outlier_fields)
+    step5, out_log = cap_outliers(step4, outlier_fields, max_rows=n4)
     # order (F1)
     step6 = order_by_time(step5, "timestamp", pos_col) if "timestamp" in df.columns else step5
     errors = validate(step6, contract) if validate_output else None

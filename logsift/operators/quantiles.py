@@ -43,14 +43,21 @@ def _method(spark: SparkSession, method: str | None) -> str:
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
-                    method: str | None = None) -> dict[str, list[float | None]]:
-    """{column: [q(p) for p in ps]}; None for a column without values."""
+                    method: str | None = None, max_rows: int | None = None) -> dict[str, list[float | None]]:
+    """{column: [q(p) for p in ps]}; None for a column without values.
+
+    ``max_rows``: a known upper bound of the row count (e.g. a count the
+    caller already made); at or below ``MAP_LIMIT`` it bounds the distinct
+    values too, so the probe pass is skipped.
+    """
     cols = list(cols)
     ps = [float(p) for p in ps]
     if not cols:
         return {}
     spark = df.sparkSession
     m = _method(spark, method)
+    if m == "auto" and max_rows is not None and max_rows <= MAP_LIMIT:
+        m = "map"
     if m == "auto":
         probe = df.agg(*[F.approx_count_distinct(F.col(c).cast("double")).alias(c) for c in cols]).first()
         m = "map" if all((probe[c] or 0) <= MAP_LIMIT for c in cols) else "rank"
@@ -175,17 +182,25 @@ def _select_ranks(df: DataFrame, cols: list[str], ranks_of) -> tuple[dict, dict]
                         break
                     acc += b["cnt"]
             if finals:
-                # each final slice holds at most FINAL_LIMIT distinct values
+                # each final slice holds at most FINAL_LIMIT distinct values;
+                # all slices of this round come back in one job
+                slices = sorted({(k[0], lo, hi) for k, lo, hi, _ in finals})
+                sid = {x: i for i, x in enumerate(slices)}
+                sdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in sid.items()],
+                                            "sid int, column string, lo double, hi double")
+                got: dict[int, list] = {}
+                for r in (vc.join(F.broadcast(sdf), "column")
+                          .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                          .select("sid", "v", "n").collect()):
+                    got.setdefault(r["sid"], []).append((r["v"], r["n"]))
                 for (k, lo, hi, below) in finals:
                     c, rank = k
-                    rows = (vc.where((F.col("column") == c) & (F.col("v") >= lo) & (F.col("v") <= hi))
-                            .select("v", "n").orderBy("v").collect())
                     acc = below
-                    for r in rows:
-                        if acc + r["n"] > rank:
-                            wanted[k] = r["v"]
+                    for v, n in sorted(got.get(sid[(c, lo, hi)], [])):
+                        if acc + n > rank:
+                            wanted[k] = v
                             break
-                        acc += r["n"]
+                        acc += n
     finally:
         vc.unpersist()
     return stats, wanted

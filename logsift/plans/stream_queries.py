@@ -1,5 +1,5 @@
 """Streaming queries: the job runs over the duplicated log view published as
-JSON files (one range of events per file, two files per micro-batch,
+JSON files (one range of events per file, four files per micro-batch,
 ``availableNow``), then its result tables are read back.  Oracles are the
 batch answers over the same records."""
 
@@ -35,7 +35,7 @@ def run_stream(spark, sf: str) -> str:
     src, out, ck = f"{root}/source", f"{root}/out", f"{root}/checkpoint"
     recs = normalise_record(dup_logs(spark, sf), keep=("log_id",))
     P.publish_files(recs, src, 8, F.floor(F.col("log_id") / 4))
-    raw = P.read_source(spark, src, max_files_per_trigger=2)
+    raw = P.read_source(spark, src, max_files_per_trigger=4)
     q = P.start(spark, raw, out, ck, delay=TEST_DELAY, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
