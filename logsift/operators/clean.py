@@ -25,6 +25,8 @@ from logsift.operators.dedup import drop_duplicates
 from logsift.operators.quantiles import quantile_values
 from logsift.operators.stats import NUMERIC, mode_values
 
+MAX_PATTERN_FIELDS = 16   # null-pattern histogram over at most 2^16 rows
+
 LOG_SCHEMA = ("step_no int, step string, field string, action string, fill_value string, "
               "count long, rows_removed_here long, rows_removed_cumulative long")
 
@@ -50,6 +52,15 @@ def plan_missing(df: DataFrame, contract: Contract = K8S_LOG, critical: Sequence
     crit = [f for f in critical if f in df.columns]
     rest = [r.name for r in contract if r.name in df.columns and r.name not in critical]
     fields = crit + rest
+    if len(fields) > MAX_PATTERN_FIELDS:
+        # only fields that hold a null can change a decision; keep the
+        # histogram provably small (<= 2^MAX_PATTERN_FIELDS rows)
+        nulls = df.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in fields]).first()
+        fields = [f for f in fields if nulls[f] > 0]
+        crit = [f for f in crit if f in fields]
+        rest = [f for f in rest if f in fields]
+        if len(fields) > MAX_PATTERN_FIELDS:
+            return _plan_missing_sequential(df, contract, crit, rest, max_pct, mode)
     if not fields:
         n = df.count()
         return MissingPlan(F.lit(True), {}, [], n, n)
@@ -123,6 +134,48 @@ def plan_missing(df: DataFrame, contract: Contract = K8S_LOG, critical: Sequence
     return MissingPlan(alive_expr(dropped), fills, log, initial, count(alive))
 
 
+def _plan_missing_sequential(df: DataFrame, contract: Contract, crit: Sequence[str], rest: Sequence[str],
+                             max_pct: float, mode: str) -> MissingPlan:
+    """Same rules, one small aggregate per step (for contracts with very many
+    nullable-in-practice fields, where a pattern histogram has no useful bound)."""
+    keep = F.lit(True)
+    initial = df.count()
+    alive_n = initial
+    log, fills, step = [], {}, 0
+    for f in crit:
+        r = df.where(keep).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(f).isNull()).alias("m")).first()
+        n, miss = r["n"], r["m"]
+        if (mode == "always" and miss > 0) or (n and miss / n * 100.0 > max_pct):
+            keep = keep & F.col(f).isNotNull()
+            alive_n -= miss
+            step += 1
+            log.append((step, "missing", f, "removed_rows", None, miss, miss, initial - alive_n))
+    for f in rest:
+        miss = df.where(keep).agg(F.count_if(F.col(f).isNull()).alias("m")).first()["m"]
+        if miss == 0:
+            continue
+        rule = contract.get(f)
+        if rule is not None and rule.nullable:
+            sub = df.where(keep)
+            if rule.numeric and isinstance(df.schema[f].dataType, NUMERIC):
+                fills[f] = quantile_values(sub, [f], [0.5], max_rows=alive_n)[f][0]
+                action = "filled_with_median"
+            elif rule.dtype == "string":
+                fills[f] = mode_values(sub, [f], default="unknown")[f]
+                action = "filled_with_mode"
+            else:
+                continue
+            step += 1
+            log.append((step, "missing", f, action, None if fills[f] is None else str(fills[f]), miss, 0,
+                        initial - alive_n))
+        else:
+            keep = keep & F.col(f).isNotNull()
+            alive_n -= miss
+            step += 1
+            log.append((step, "missing", f, "removed_rows", None, miss, miss, initial - alive_n))
+    return MissingPlan(keep, fills, log, initial, alive_n)
+
+
 def apply_missing(df: DataFrame, plan: MissingPlan) -> DataFrame:
     out = df.where(plan.keep)
     fills = {f: F.coalesce(F.col(f), F.lit(v).cast(df.schema[f].dataType)) for f, v in plan.fills.items()

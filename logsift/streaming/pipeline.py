@@ -227,22 +227,66 @@ def read_anomalies(spark: SparkSession, out_root: str) -> DataFrame:
     return spark.read.parquet(Tables(out_root).anomalies).drop("batch_id")
 
 
-def read_status(spark: SparkSession, out_root: str, cpu_scale: float = 100.0) -> DataFrame:
-    p = spark.read.parquet(Tables(out_root).status)
-    s = p.groupBy("server_id").agg(
+def _fold_status(p: DataFrame) -> DataFrame:
+    return p.groupBy("server_id").agg(
         F.sum("total_logs").alias("total_logs"), F.sum("error_count").alias("error_count"),
         F.sum("warning_count").alias("warning_count"), F.max("last_update").alias("last_update"),
         F.max("max_cpu").alias("max_cpu"), F.max("max_memory_mb").alias("max_memory_mb"),
         F.sum("anomaly_count").alias("anomaly_count"))
+
+
+def _fold_hourly(p: DataFrame) -> DataFrame:
+    return p.groupBy("hour", "server_id").agg(F.sum("log_count").alias("log_count"), F.sum("errors").alias("errors"))
+
+
+def _base_and_partials(spark: SparkSession, partials_path: str, upto: int | None = None) -> DataFrame:
+    """Latest compacted base (if any) plus the partials written after it."""
+    base_path = partials_path + "_base"
+    base = None
+    try:
+        b = spark.read.parquet(base_path)
+        mx = b.agg(F.max("upto_batch")).first()[0]
+        if mx is not None and (upto is None or mx <= upto):
+            base = b.where(F.col("upto_batch") == mx).drop("upto_batch")
+        elif mx is not None:
+            ok = b.where(F.col("upto_batch") <= upto).agg(F.max("upto_batch")).first()[0]
+            if ok is not None:
+                base, mx = b.where(F.col("upto_batch") == ok).drop("upto_batch"), ok
+            else:
+                mx = None
+    except Exception:  # noqa: BLE001 - no base yet
+        mx = None
+    p = spark.read.parquet(partials_path)
+    if mx is not None:
+        p = p.where(F.col("batch_id") > mx)
+    if upto is not None:
+        p = p.where(F.col("batch_id") <= upto)
+    p = p.drop("batch_id")
+    return p if base is None else base.unionByName(p)
+
+
+def compact(spark: SparkSession, out_root: str, upto_batch: int) -> None:
+    """Fold status and hourly partials up to ``upto_batch`` into versioned base
+    tables (partition ``upto_batch``), so readers touch one base plus the
+    newer partials.  Re-running with the same bound rewrites the same
+    partition: idempotent.  Older partitions can then be dropped by retention."""
+    t = Tables(out_root)
+    for path, fold in ((t.status, _fold_status), (t.hourly, _fold_hourly)):
+        folded = fold(_base_and_partials(spark, path, upto_batch))
+        (folded.withColumn("upto_batch", F.lit(upto_batch).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("upto_batch").parquet(path + "_base"))
+
+
+def read_status(spark: SparkSession, out_root: str, cpu_scale: float = 100.0) -> DataFrame:
+    s = _fold_status(_base_and_partials(spark, Tables(out_root).status))
     return s.withColumn("status", classify_status("anomaly_count", F.col("max_cpu") / cpu_scale, "max_memory_mb"))
 
 
 def read_hourly(spark: SparkSession, out_root: str) -> DataFrame:
-    p = spark.read.parquet(Tables(out_root).hourly)
-    return (p.groupBy("hour", "server_id").agg(F.sum("log_count").alias("log_count"), F.sum("errors").alias("errors"))
-            .select(F.col("hour").cast("timestamp_ntz").alias("timestamp"), "server_id", "log_count",
+    p = _fold_hourly(_base_and_partials(spark, Tables(out_root).hourly))
+    return p.select(F.col("hour").cast("timestamp_ntz").alias("timestamp"), "server_id", "log_count",
                     F.round(F.col("errors") / F.col("log_count"), 6).alias("error_rate"),
-                    F.lit(None).cast("double").alias("avg_response_time")))
+                    F.lit(None).cast("double").alias("avg_response_time"))
 
 
 def read_alerts(spark: SparkSession, out_root: str) -> DataFrame:

@@ -141,3 +141,15 @@ def test_metrics_fixture(spark):
     assert (n["mean"], n["median"], n["q25"], n["q75"], n["outliers_iqr"]) == (3.0, 3.0, 2.0, 4.0, 0)
     t = S.text_profile(df, ["text"]).first()
     assert (t["unique_count"], t["most_frequent"], t["avg_length"], t["max_length"]) == (5, "a", 1.0, 1)
+
+
+def test_sequential_fallback_equals_histogram(spark, monkeypatch):
+    from logsift.plans.views import logs
+    from conftest import SF0001
+    lg = logs(spark, SF0001)
+    a = C.plan_missing(lg, K8S_LOG)
+    monkeypatch.setattr(C, "MAX_PATTERN_FIELDS", 1)
+    b = C.plan_missing(lg, K8S_LOG)
+    assert [r[2:4] + r[5:] for r in a.log] == [r[2:4] + r[5:] for r in b.log]
+    assert (a.rows_in, a.rows_out) == (b.rows_in, b.rows_out)
+    assert C.apply_missing(lg, a).count() == C.apply_missing(lg, b).count()

@@ -29,6 +29,12 @@ def test_stream_equals_batch(spark):
     assert P.read_alerts(spark, f"{root}/out").count() == 50
     h = P.health(spark, f"{root}/out", q).first()
     assert h["servers_count"] == 10
+    # compaction keeps the answer and is idempotent
+    before = sorted(tuple(r) for r in P.read_hourly(spark, f"{root}/out").collect())
+    P.compact(spark, f"{root}/out", 1)
+    P.compact(spark, f"{root}/out", 1)
+    assert sorted(tuple(r) for r in P.read_hourly(spark, f"{root}/out").collect()) == before
+    assert {r["server_id"]: r["total_logs"] for r in P.read_status(spark, f"{root}/out").collect()} == batch
 
 
 def test_corrupt_records_are_quarantined(spark):
