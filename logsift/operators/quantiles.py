@@ -1,7 +1,18 @@
 """Exact quantiles (linear interpolation, like pandas / DuckDB quantile_cont).
 
-Two strategies, picked per call after one cheap pass that counts values and
-estimates distinct values (HyperLogLog):
+Default strategy ``sketch`` - no shuffle of the data at all:
+
+1. one aggregate pass per column: count, min, max and ``percentile_approx``
+   at p +- 3/accuracy.  Its rank error is at most N/accuracy, so the two
+   approximate values bracket the exact value at the wanted rank;
+2. scans that count values below each bracket and build an equi-width
+   histogram inside it (map-side partial aggregation, a few thousand rows
+   reach the driver), narrowing to the bucket that holds the rank until it
+   holds one value or at most ``FINAL_LIMIT`` rows, whose (value, count)
+   pairs are read.
+
+Other strategies (``method=`` or conf ``logsift.quantile.method``), picked
+by ``auto`` after one HyperLogLog pass:
 
 * ``map``  - Spark's exact ``percentile``.  It keeps a value->count map per
   group and merges it in one task, so it is used only when the estimated
@@ -28,6 +39,7 @@ from pyspark.sql import types as T
 MAP_LIMIT = 1_000_000
 FINAL_LIMIT = 50_000
 BUCKETS = 1024
+SKETCH_ACCURACY = 10_000      # percentile_approx accuracy: rank error <= N / accuracy
 
 
 def unpivot_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -39,7 +51,7 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _method(spark: SparkSession, method: str | None) -> str:
     if method:
         return method
-    return spark.conf.get("logsift.quantile.method", "auto")
+    return spark.conf.get("logsift.quantile.method", "sketch")
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
@@ -61,6 +73,8 @@ def quantile_values(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
     if m == "auto":
         probe = df.agg(*[F.approx_count_distinct(F.col(c).cast("double")).alias(c) for c in cols]).first()
         m = "map" if all((probe[c] or 0) <= MAP_LIMIT for c in cols) else "rank"
+    if m == "sketch":
+        return _sketch_quantiles(df, cols, ps)
     if m == "map":
         row = df.agg(*[F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
                                     F.array(*[F.lit(p) for p in ps])).alias(c) for c in cols]).first()
@@ -206,6 +220,124 @@ def _select_ranks(df: DataFrame, cols: list[str], ranks_of) -> tuple[dict, dict]
     return stats, wanted
 
 
+# --- sketch + bracket refinement ----------------------------------------------
+
+def _sketch_quantiles(df: DataFrame, cols: list[str], ps: list[float]) -> dict[str, list]:
+    eps = 3.0 / SKETCH_ACCURACY
+    qs = sorted({min(1.0, max(0.0, p + d)) for p in ps for d in (-eps, eps)})
+    aggs = []
+    for c in cols:
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.count(x).alias(f"n__{c}"), F.min(x).alias(f"lo__{c}"), F.max(x).alias(f"hi__{c}"),
+                 F.percentile_approx(x, F.array(*[F.lit(q) for q in qs]), SKETCH_ACCURACY).alias(f"q__{c}")]
+    row = df.agg(*aggs).first()
+    targets: dict[tuple[str, int], tuple[float, float]] = {}
+    stats = {}
+    for c in cols:
+        n = row[f"n__{c}"]
+        if not n:
+            continue
+        stats[c] = n
+        approx = dict(zip(qs, row[f"q__{c}"]))
+        lo_all, hi_all = row[f"lo__{c}"], row[f"hi__{c}"]
+        for p in ps:
+            pos = p * (n - 1)
+            if n / SKETCH_ACCURACY >= 1.0:
+                lo = lo_all if p - eps <= 0 else approx[min(1.0, max(0.0, p - eps))]
+                hi = hi_all if p + eps >= 1 else approx[min(1.0, max(0.0, p + eps))]
+            else:          # tiny input: the whole range is already a small slice
+                lo, hi = lo_all, hi_all
+            for r in (math.floor(pos), math.ceil(pos)):
+                old = targets.get((c, r))
+                targets[(c, r)] = (lo, hi) if old is None else (min(old[0], lo), max(old[1], hi))
+    wanted = _refine(df, targets)
+    out: dict[str, list] = {}
+    for c in cols:
+        if c not in stats:
+            out[c] = [None] * len(ps)
+            continue
+        res = []
+        for p in ps:
+            pos = p * (stats[c] - 1)
+            lo_r, hi_r = math.floor(pos), math.ceil(pos)
+            a, b = wanted[(c, lo_r)], wanted[(c, hi_r)]
+            res.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
+        out[c] = res
+    return out
+
+
+def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]]) -> dict:
+    """Exact value at each (column, rank) given a bracket [lo, hi] containing it.
+
+    Every round is one scan of the raw values joined to the (small, broadcast)
+    list of open ranges: bucket 0 counts values below the range, buckets 1..B
+    split the range.  A range that cannot be split (one value) or holds at most
+    FINAL_LIMIT rows is resolved from its (value, count) pairs.
+    """
+    if not targets:
+        return {}
+    spark = df.sparkSession
+    cols = sorted({c for c, _ in targets})
+    long = unpivot_numeric(df, cols)
+    wanted: dict = {k: None for k in targets}
+    state = dict(targets)
+    while True:
+        pending = {k: v for k, v in state.items() if wanted[k] is None}
+        if not pending:
+            return wanted
+        ranges = sorted({(k[0], lo, hi) for k, (lo, hi) in pending.items()})
+        rid = {r: i for i, r in enumerate(ranges)}
+        rdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in rid.items()],
+                                    "rid int, column string, lo double, hi double")
+        j = long.join(F.broadcast(rdf), "column").where(F.col("v") <= F.col("hi"))
+        b = (F.when(F.col("v") < F.col("lo"), F.lit(0))
+             .when(F.col("lo") == F.col("hi"), F.lit(1))
+             .otherwise(F.least(F.width_bucket("v", "lo", "hi", F.lit(BUCKETS)), F.lit(BUCKETS))))
+        hist = (j.withColumn("b", b).groupBy("rid", "b")
+                .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
+                .collect())
+        per: dict[int, list] = {}
+        for r in hist:
+            per.setdefault(r["rid"], []).append(r)
+        finals = []
+        for k, (lo, hi) in pending.items():
+            c, rank = k
+            buckets = sorted(per.get(rid[(c, lo, hi)], []), key=lambda r: r["b"])
+            acc = 0
+            for bk in buckets:
+                if bk["b"] == 0:
+                    acc += bk["cnt"]
+                    continue
+                if acc + bk["cnt"] > rank:
+                    if bk["bmin"] == bk["bmax"]:
+                        wanted[k] = bk["bmin"]
+                    elif bk["cnt"] <= FINAL_LIMIT:
+                        finals.append((k, bk["bmin"], bk["bmax"], acc))
+                    state[k] = (bk["bmin"], bk["bmax"])
+                    break
+                acc += bk["cnt"]
+            else:
+                raise RuntimeError(f"quantile bracket for {k} does not hold the rank")
+        if finals:
+            slices = sorted({(k[0], lo, hi) for k, lo, hi, _ in finals})
+            sid = {x: i for i, x in enumerate(slices)}
+            sdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in sid.items()],
+                                        "sid int, column string, lo double, hi double")
+            got: dict[int, list] = {}
+            for r in (long.join(F.broadcast(sdf), "column")
+                      .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                      .groupBy("sid", "v").agg(F.count(F.lit(1)).alias("n")).collect()):
+                got.setdefault(r["sid"], []).append((r["v"], r["n"]))
+            for (k, lo, hi, below) in finals:
+                c, rank = k
+                acc = below
+                for v, n in sorted(got.get(sid[(c, lo, hi)], [])):
+                    if acc + n > rank:
+                        wanted[k] = v
+                        break
+                    acc += n
+
+
 def median_values(df: DataFrame, cols: Iterable[str], method: str | None = None) -> dict[str, float | None]:
     vals = quantile_values(df, list(cols), [0.5], method)
     return {c: v[0] for c, v in vals.items()}

@@ -16,7 +16,7 @@ def _df(spark, values):
     return spark.createDataFrame([(float(v),) for v in values], "x double")
 
 
-@pytest.mark.parametrize("method", ["map", "rank"])
+@pytest.mark.parametrize("method", ["map", "rank", "sketch"])
 def test_iqr_fixture(spark, method):
     df = _df(spark, list(range(1, 10)) + [100])
     q1, q3 = quantile_values(df, ["x"], [0.25, 0.75], method)["x"]
@@ -64,7 +64,9 @@ def test_rank_equals_map_with_hot_value(spark):
     ps = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
     a = quantile_values(df, ["x"], ps, "map")["x"]
     b = quantile_values(df, ["x"], ps, "rank")["x"]
+    c = quantile_values(df, ["x"], ps, "sketch")["x"]
     assert a == pytest.approx(b, rel=1e-12, abs=1e-9)
+    assert a == pytest.approx(c, rel=1e-12, abs=1e-9)
 
 
 def test_rank_equals_map_on_lineitem(spark):
@@ -72,14 +74,29 @@ def test_rank_equals_map_on_lineitem(spark):
     cols = ["l_quantity", "l_extendedprice", "l_discount"]
     a = quantile_values(li, cols, [0.1, 0.5, 0.9], "map")
     b = quantile_values(li, cols, [0.1, 0.5, 0.9], "rank")
+    s = quantile_values(li, cols, [0.1, 0.5, 0.9], "sketch")
     for c in cols:
         assert a[c] == pytest.approx(b[c], rel=1e-12)
+        assert a[c] == pytest.approx(s[c], rel=1e-12)
 
 
 def test_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert quantile_values(df, ["x"], [0.5], "rank")["x"] == [None]
     assert quantile_values(df, ["x"], [0.5], "map")["x"] == [None]
+    assert quantile_values(df, ["x"], [0.5], "sketch")["x"] == [None]
+
+
+def test_sketch_brackets_on_large_skewed_input(spark):
+    """Enough rows that the sketch brackets are used (N > accuracy), with a hot
+    value holding a third of the rows and a long tail."""
+    n = 60000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.pow(F.col("id") * 1.0001, 1.5)).alias("x"))
+    ps = [0.0, 0.001, 0.1, 0.3333, 0.5, 0.9, 0.999, 1.0]
+    a = quantile_values(df, ["x"], ps, "map")["x"]
+    c = quantile_values(df, ["x"], ps, "sketch")["x"]
+    assert a == pytest.approx(c, rel=1e-12, abs=1e-9)
 
 
 def test_value_at_rank(spark):
