@@ -242,15 +242,16 @@ def _sketch_quantiles(df: DataFrame, cols: list[str], ps: list[float]) -> dict[s
         lo_all, hi_all = row[f"lo__{c}"], row[f"hi__{c}"]
         for p in ps:
             pos = p * (n - 1)
-            if n / SKETCH_ACCURACY >= 1.0:
+            if n > FINAL_LIMIT and n / SKETCH_ACCURACY >= 1.0:
                 lo = lo_all if p - eps <= 0 else approx[min(1.0, max(0.0, p - eps))]
                 hi = hi_all if p + eps >= 1 else approx[min(1.0, max(0.0, p + eps))]
-            else:          # tiny input: the whole range is already a small slice
+            else:          # small input: the whole range is already a small slice
                 lo, hi = lo_all, hi_all
             for r in (math.floor(pos), math.ceil(pos)):
                 old = targets.get((c, r))
                 targets[(c, r)] = (lo, hi) if old is None else (min(old[0], lo), max(old[1], hi))
-    wanted = _refine(df, targets)
+    small = {c for c, n in stats.items() if n <= FINAL_LIMIT}
+    wanted = _refine(df, targets, small)
     out: dict[str, list] = {}
     for c in cols:
         if c not in stats:
@@ -266,13 +267,16 @@ def _sketch_quantiles(df: DataFrame, cols: list[str], ps: list[float]) -> dict[s
     return out
 
 
-def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]]) -> dict:
+def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]],
+            small: set[str] = frozenset()) -> dict:
     """Exact value at each (column, rank) given a bracket [lo, hi] containing it.
 
     Every round is one scan of the raw values joined to the (small, broadcast)
     list of open ranges: bucket 0 counts values below the range, buckets 1..B
     split the range.  A range that cannot be split (one value) or holds at most
-    FINAL_LIMIT rows is resolved from its (value, count) pairs.
+    FINAL_LIMIT rows is resolved from its (value, count) pairs.  Columns in
+    ``small`` (at most FINAL_LIMIT values, brackets = [min, max]) skip the
+    histogram and are read as one slice at once.
     """
     if not targets:
         return {}
@@ -281,10 +285,18 @@ def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]])
     long = unpivot_numeric(df, cols)
     wanted: dict = {k: None for k in targets}
     state = dict(targets)
+    first = True
     while True:
         pending = {k: v for k, v in state.items() if wanted[k] is None}
         if not pending:
             return wanted
+        if first and small:
+            first = False
+            direct = [(k, lo, hi, 0) for k, (lo, hi) in pending.items() if k[0] in small]
+            if direct:
+                _resolve_slices(spark, long, direct, wanted)
+                continue
+        first = False
         ranges = sorted({(k[0], lo, hi) for k, (lo, hi) in pending.items()})
         rid = {r: i for i, r in enumerate(ranges)}
         rdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in rid.items()],
@@ -319,23 +331,28 @@ def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]])
             else:
                 raise RuntimeError(f"quantile bracket for {k} does not hold the rank")
         if finals:
-            slices = sorted({(k[0], lo, hi) for k, lo, hi, _ in finals})
-            sid = {x: i for i, x in enumerate(slices)}
-            sdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in sid.items()],
-                                        "sid int, column string, lo double, hi double")
-            got: dict[int, list] = {}
-            for r in (long.join(F.broadcast(sdf), "column")
-                      .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                      .groupBy("sid", "v").agg(F.count(F.lit(1)).alias("n")).collect()):
-                got.setdefault(r["sid"], []).append((r["v"], r["n"]))
-            for (k, lo, hi, below) in finals:
-                c, rank = k
-                acc = below
-                for v, n in sorted(got.get(sid[(c, lo, hi)], [])):
-                    if acc + n > rank:
-                        wanted[k] = v
-                        break
-                    acc += n
+            _resolve_slices(spark, long, finals, wanted)
+
+
+def _resolve_slices(spark, long: DataFrame, finals: list, wanted: dict) -> None:
+    """Read the (value, count) pairs of small slices in one job and pick each rank."""
+    slices = sorted({(k[0], lo, hi) for k, lo, hi, _ in finals})
+    sid = {x: i for i, x in enumerate(slices)}
+    sdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in sid.items()],
+                                "sid int, column string, lo double, hi double")
+    got: dict[int, list] = {}
+    for r in (long.join(F.broadcast(sdf), "column")
+              .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+              .groupBy("sid", "v").agg(F.count(F.lit(1)).alias("n")).collect()):
+        got.setdefault(r["sid"], []).append((r["v"], r["n"]))
+    for (k, lo, hi, below) in finals:
+        c, rank = k
+        acc = below
+        for v, n in sorted(got.get(sid[(c, lo, hi)], [])):
+            if acc + n > rank:
+                wanted[k] = v
+                break
+            acc += n
 
 
 def median_values(df: DataFrame, cols: Iterable[str], method: str | None = None) -> dict[str, float | None]:
