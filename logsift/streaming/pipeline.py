@@ -198,6 +198,11 @@ def make_batch_writer(tables: Tables):
         spark = batch.sparkSession
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if b.isEmpty():
+                # nothing new (e.g. a batch that only advances the watermark):
+                # partials are additive and alerts fall back to the newest
+                # version, so writing nothing is exact
+                return
             anoms = anomaly_rows(b)
             _write_partition(anoms, tables.anomalies, batch_id)
             _write_partition(status_partials(b), tables.status, batch_id)
