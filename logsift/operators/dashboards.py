@@ -93,11 +93,14 @@ def pipeline_statistics(logs: DataFrame) -> DataFrame:
 def pipeline_health(anoms: DataFrame, status: DataFrame, fresh_seconds: int = 300) -> DataFrame:
     """Freshness (D23/K10): counts, last update; active when the newest anomaly
     is within ``fresh_seconds`` of the newest status update (data time, not wall time)."""
-    a = anoms.agg(F.count(F.lit(1)).alias("anomalies_count"), F.max("timestamp").alias("_last_anom"))
+    a = anoms.agg(F.count(F.lit(1)).alias("anomalies_count"), F.max("timestamp").alias("_last_anom")).first()
+    # the status aggregate stays a frame; the anomaly side is one row of metadata
     s = status.agg(F.count(F.lit(1)).alias("servers_count"), F.max("last_update").alias("_last"))
-    return a.crossJoin(s).select(
-        "anomalies_count", "servers_count", to_ntz("_last").alias("last_update"),
-        F.coalesce(F.unix_micros("_last_anom") >= F.unix_micros("_last") - F.lit(fresh_seconds * 1_000_000),
+    last_anom = F.lit(a["_last_anom"]).cast("timestamp")
+    return s.select(
+        F.lit(a["anomalies_count"]).cast("long").alias("anomalies_count"), "servers_count",
+        to_ntz("_last").alias("last_update"),
+        F.coalesce(F.unix_micros(last_anom) >= F.unix_micros("_last") - F.lit(fresh_seconds * 1_000_000),
                    F.lit(False)).alias("active"))
 
 
@@ -118,10 +121,9 @@ def weekday_heatmap(anoms: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def severity_distribution(anoms: DataFrame) -> DataFrame:
     """Counts per severity with percent and rank weight."""
+    total = anoms.count()
     c = anoms.groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
-    t = anoms.agg(F.count(F.lit(1)).alias("_t"))
-    return c.crossJoin(F.broadcast(t)).select("severity", "n", pct("n", "_t").alias("pct"),
-                                              severity_rank("severity").alias("rank"))
+    return c.select("severity", "n", pct("n", F.lit(total)).alias("pct"), severity_rank("severity").alias("rank"))
 
 
 def latest(df: DataFrame, n: int, ts: str = "timestamp", tiebreak: str = "log_id") -> DataFrame:
@@ -175,6 +177,6 @@ def server_index(status: DataFrame) -> DataFrame:
 
 
 def scaled(df: DataFrame, col: str, out: str = "size") -> DataFrame:
-    """v / max(max, 1) * 20 + 5 (D24) via a broadcast 1-row max."""
-    m = df.agg(F.greatest(F.max(col).cast("double"), F.lit(1.0)).alias("_mx"))
-    return df.crossJoin(F.broadcast(m)).withColumn(out, F.round(F.col(col) / F.col("_mx") * 20 + 5, 6)).drop("_mx")
+    """v / max(max, 1) * 20 + 5 (D24); the maximum is one number of metadata."""
+    mx = df.agg(F.greatest(F.max(col).cast("double"), F.lit(1.0))).first()[0]
+    return df.withColumn(out, F.round(F.col(col) / F.lit(mx if mx is not None else 1.0) * 20 + 5, 6))

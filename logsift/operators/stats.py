@@ -29,8 +29,11 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def with_bounds(df: DataFrame, stats_row: DataFrame) -> DataFrame:
-    """Apply a 1-row statistics frame to every row (C3): broadcast cross join."""
-    return df.crossJoin(F.broadcast(stats_row))
+    """Apply a 1-row statistics frame to every row (C3): its single row is read
+    (bounded metadata) and attached as typed literals, so no join is planned."""
+    row = stats_row.first()
+    types = {f.name: f.dataType for f in stats_row.schema.fields}
+    return df.withColumns({k: F.lit(v).cast(types[k]) for k, v in row.asDict().items()})
 
 
 def _unpivot(wide: DataFrame, cols: Sequence[str], metrics: Sequence[str], key: str = "column") -> DataFrame:
@@ -137,10 +140,9 @@ def mode_values(df: DataFrame, cols: Sequence[str], default: str | None = "unkno
 
 def value_counts(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
     """(value, n, pct) most frequent first; pct of the grand total."""
+    total = df.count()          # one number; the scan reads no column
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .select(col, "n", pct("n", "_total", digits).alias("pct"))
+    return (counts.select(col, "n", pct("n", F.lit(total), digits).alias("pct"))
             .orderBy(F.desc("n"), F.asc_nulls_last(col)))
 
 

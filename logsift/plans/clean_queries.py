@@ -76,13 +76,12 @@ FROM lineitem, (SELECT avg({c}) AS m, stddev_samp({c}) AS sd FROM lineitem) s GR
 def q_zscore_outliers(spark, sf):
     """|z| > 3 with ddof=1."""
     li = table(spark, sf, "lineitem")
-    st = li.agg(*[x for c in LINEITEM_NUMERIC for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))])
-    j = li.crossJoin(F.broadcast(st))
-    row = j.agg(*[F.first(f"m_{c}").alias(f"m_{c}") for c in LINEITEM_NUMERIC],
-                *[F.first(f"s_{c}").alias(f"s_{c}") for c in LINEITEM_NUMERIC],
-                *[F.count_if(O.zscore_flag(c, f"m_{c}", f"s_{c}", 3.0)).alias(f"o_{c}") for c in LINEITEM_NUMERIC])
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.round(f"m_{c}", 6).alias("mean"),
-                             F.round(f"s_{c}", 6).alias("std"), F.col(f"o_{c}").alias("outliers"))
+    st = li.agg(*[x for c in LINEITEM_NUMERIC
+                  for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))]).first()
+    row = li.agg(*[F.count_if(O.zscore_flag(c, F.lit(st[f"m_{c}"]), F.lit(st[f"s_{c}"]), 3.0)).alias(f"o_{c}")
+                   for c in LINEITEM_NUMERIC])
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.round(F.lit(st[f"m_{c}"]), 6).alias("mean"),
+                             F.round(F.lit(st[f"s_{c}"]), 6).alias("std"), F.col(f"o_{c}").alias("outliers"))
                     for c in LINEITEM_NUMERIC])
     return row.select(F.inline(arr))
 

@@ -307,4 +307,6 @@ def health(spark: SparkSession, out_root: str, query=None) -> DataFrame:
                                          F.max("last_update").cast("timestamp_ntz").alias("last_update"))
     prog = query.lastProgress if query is not None else None
     rows_per_s = float(prog.get("processedRowsPerSecond") or 0.0) if prog else None
-    return a.crossJoin(s).withColumn("processed_rows_per_second", F.lit(rows_per_s).cast("double"))
+    n_anoms = a.first()["anomalies_count"]
+    return s.select(F.lit(n_anoms).cast("long").alias("anomalies_count"), "servers_count", "last_update",
+                    F.lit(rows_per_s).cast("double").alias("processed_rows_per_second"))
