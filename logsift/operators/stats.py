@@ -123,7 +123,7 @@ def text_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int =
             .agg(F.count(F.lit(1)).alias("unique_count"),
                  F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("_mode"),
                  F.round(F.sum(ln * F.col("n")) / F.sum("n"), digits).alias("avg_length"),
-                 F.max(ln).alias("max_length"))
+                 F.max(ln).cast("long").alias("max_length"))
             .select("column", "unique_count", F.col("_mode.value").alias("most_frequent"),
                     "avg_length", "max_length"))
 

@@ -368,13 +368,13 @@ SELECT gate, round(v, 2) AS value, threshold,
          AS status
 FROM (SELECT * FROM (VALUES
   ('retention_rate', (SELECT value FROM s WHERE metric = 'final_rows') * 100.0
-                      / (SELECT value FROM s WHERE metric = 'initial_rows'), 95.0, '>='),
+                      / (SELECT value FROM s WHERE metric = 'initial_rows'), CAST(95.0 AS DOUBLE), '>='),
   ('missing_rate', (SELECT value FROM s WHERE metric = 'missing_filled') * 100.0
-                    / (SELECT value FROM s WHERE metric = 'initial_rows'), 5.0, '<='),
+                    / (SELECT value FROM s WHERE metric = 'initial_rows'), CAST(5.0 AS DOUBLE), '<='),
   ('duplicate_rate', (SELECT value FROM s WHERE metric = 'duplicates_removed') * 100.0
-                      / (SELECT value FROM s WHERE metric = 'initial_rows'), 5.0, '<='),
+                      / (SELECT value FROM s WHERE metric = 'initial_rows'), CAST(5.0 AS DOUBLE), '<='),
   ('outlier_rate', (SELECT value FROM s WHERE metric = 'outliers_detected') * 100.0
-                    / (SELECT value FROM s WHERE metric = 'initial_rows'), 1.0, '<='))
+                    / (SELECT value FROM s WHERE metric = 'initial_rows'), CAST(1.0 AS DOUBLE), '<='))
   v(gate, v, threshold, op)) g""", "dup_logs",
     more=_cc[0] + ",\ns AS (SELECT metric, CAST(value AS DOUBLE) AS value FROM (" + _summary_body + ") x)"))
 def q_quality_gates(spark, sf):

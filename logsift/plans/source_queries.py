@@ -66,8 +66,8 @@ def q_render_log_text(spark, sf):
 
 @query("json_round_trip", """
 SELECT CAST(user_id AS VARCHAR) AS key,
-       to_json({'event_id': event_id, 'event_type': event_type, 'k': CAST(json_extract(props, '$.k') AS INTEGER)})
-         AS value,
+       CAST(to_json({'event_id': event_id, 'event_type': event_type,
+                     'k': CAST(json_extract(props, '$.k') AS INTEGER)}) AS VARCHAR) AS value,
        CAST(json_extract(props, '$.k') AS INTEGER) AS k
 FROM events""")
 def q_json_round_trip(spark, sf):
