@@ -188,3 +188,35 @@ def _quality_report_sql():
 def q_quality_report(spark, sf):
     """J7 + J8: missing, duplicates, numeric and text statistics and types as one long table."""
     return quality_report(logs(spark, sf), "logs")
+
+
+def _report_round_trip_sql():
+    q = _quality_report_sql()
+    body_at = q.index("SELECT 'logs' AS dataset")
+    ctes, body = q[:body_at].rstrip().rstrip(","), q[body_at:]
+    return ctes + """,
+rep AS (""" + body + """)
+SELECT section, coalesce("column", '') || '.' || metric AS key, value, CASE WHEN value IS NULL THEN text END AS text
+FROM rep"""
+
+
+@query("report_json_round_trip", _report_round_trip_sql())
+def q_report_json_round_trip(spark, sf):
+    """The quality report written as one nested JSON document per section,
+    read back with an explicit schema and flattened."""
+    path = scratch_path(spark, "report") + ".json"
+    IO.write_report(quality_report(logs(spark, sf), "logs"), path)
+    back = spark.read.schema("section string, metrics map<string,string>").json(path)
+    kv = back.select("section", F.explode("metrics").alias("key", "v"))
+    val = F.col("v").try_cast("double")
+    return kv.select("section", "key", val.alias("value"), F.when(val.isNull(), F.col("v")).alias("text"))
+
+
+@query("log_text_round_trip", with_views(f"""
+SELECT unnest(string_split(rtrim(log_text, chr(10)), chr(10))) AS value FROM ({RENDER_SQL}) t""", "logs"))
+def q_log_text_round_trip(spark, sf):
+    """Five-line text blocks written with the text sink and read back line by line."""
+    path = scratch_path(spark, "logs-text")
+    txt = q_render_log_text(spark, sf)
+    IO.write_log_text(txt, F.col("log_text"), path)
+    return spark.read.text(path)
