@@ -218,7 +218,14 @@ def make_batch_writer(tables: Tables):
 
 def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, delay: str = DEFAULT_DELAY,
           trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False):
-    """Start the job; returns the StreamingQuery (K9: 10 s micro-batches by default)."""
+    """Start the job; returns the StreamingQuery (K9: 10 s micro-batches by default).
+
+    Dedup state lives in the RocksDB state store (off-heap, spills to local
+    disk, checkpointed incrementally) unless the session already names a
+    provider; the choice is fixed per checkpoint at the first run."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = dedup_stream(clean_stream(ingest(raw)), delay)
     w = (stream.writeStream.foreachBatch(make_batch_writer(Tables(out_root)))
          .option("checkpointLocation", checkpoint).outputMode("append"))
