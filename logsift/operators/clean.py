@@ -24,6 +24,7 @@ from logsift.functions.time import parse_ts
 from logsift.operators.dedup import drop_duplicates
 from logsift.operators.quantiles import quantile_values
 from logsift.operators.stats import NUMERIC, mode_values
+from logsift.session import checkpoint_dir
 
 MAX_PATTERN_FIELDS = 16   # null-pattern histogram over at most 2^16 rows
 
@@ -285,7 +286,8 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     tf = [f for f in text_fields if f in df.columns]
     step3 = step2.withColumns({f"_old_{f}": F.col(f) for f in tf}) \
         .withColumns({f: standardise_text(F.col(f), max_length) for f in tf})
-    step3 = step3.persist(StorageLevel.MEMORY_AND_DISK)
+    cached3 = step3.persist(StorageLevel.MEMORY_AND_DISK)
+    step3 = cached3
     c_aggs = [F.count(F.lit(1)).alias("rows")]
     if "timestamp" in df.columns:
         c_aggs += [F.count("timestamp").alias("ts_valid")]
@@ -295,7 +297,12 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     # duplicates
     keys = [k for k in dedup_keys if k in df.columns]
     step4 = drop_duplicates(step3, keys, pos_col, "timestamp", dedup_seconds) if keys else step3
-    step4 = step4.persist(StorageLevel.MEMORY_AND_DISK)
+    # the deduplicated table feeds every later pass: write it once to the
+    # shared checkpoint folder (lineage cut, survives lost executors) and
+    # release the cached pre-dedup rows
+    checkpoint_dir(spark)
+    step4 = step4.checkpoint(eager=True)
+    cached3.unpersist()
     n4 = step4.count()
     # outliers (I6)
     step5, out_log = cap_outliers(step4, outlier_fields, max_rows=n4)
