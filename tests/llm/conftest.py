@@ -1,0 +1,17 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+SF0001 = "/root/testdata/sf0.001"
+SF001 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from logsift.session import get_spark
+    s = get_spark(master="local[4]", shuffle_partitions=8)
+    yield s
+    s.stop()
