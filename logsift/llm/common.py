@@ -27,12 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_of(name: str) -> Column:
     """A text column with null counted as empty."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns needed, under private names: other columns cannot clash with them."""
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
 
 
 def with_run(df: DataFrame, runs: int = RUNS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm import dedup, simhash
+from logsift.llm import bpe, dedup, simhash, token_counts
 from logsift.llm.common import table
 
 QUERIES = {}
@@ -20,6 +20,13 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+def tokenizer_file(name: str) -> bytes:
+    """Content of a public tokenizer's file (at most a few MB)."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_chars,
@@ -39,3 +46,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), words=3, max_bits=3)
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), limit=4096)
+
+
+@query("op6_bpe_encode_decode")
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json").decode())
