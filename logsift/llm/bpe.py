@@ -6,7 +6,7 @@ all blocks meet by word, where each distinct word is encoded once; the ids go
 back to (block, position) and the documents of the block are put together from
 them.  Decoding joins the ids of the distinct words with the vocabulary's pieces.
 
-What moves is the texts once and, per block, one row per distinct word, not one
+What moves is the texts once, compressed, and, per block, one row per distinct word, not one
 per occurrence; a very common word has one row per block.  The words that a
 small sample shows to be most common (a bounded number) are encoded beforehand
 and broadcast; which words these are changes no result.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from logsift.llm.common import texts
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 24 << 20
 HEAD_WORDS = 1 << 16
 HEAD_WORD_BYTES = 48
 SAMPLE_ROWS = 2000
@@ -47,8 +47,13 @@ def distinct_words(whole: list[bytes], skip) -> list[bytes]:
     return sorted({w for c in chunks for w in words_of(c)}.difference(skip))
 
 
-def encoder(tokenizer_json: str):
-    """A function from words to their ids as little-endian unsigned 32-bit integers."""
+def id_kind(pieces: list[str]) -> str:
+    """Ids travel in two bytes where the vocabulary allows it."""
+    return "<u2" if len(pieces) <= 1 << 16 else "<u4"
+
+
+def encoder(tokenizer_json: str, kind: str):
+    """A function from words to their ids as little-endian integers of that kind."""
     import numpy as np
     from tokenizers import Tokenizer
     tok = Tokenizer.from_str(tokenizer_json)
@@ -57,7 +62,7 @@ def encoder(tokenizer_json: str):
 
     def encode(words):
         got = tok.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
+        return [np.array(e.ids, dtype=kind).tobytes() for e in got]
     return encode
 
 
@@ -114,22 +119,38 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
     spark = src.sparkSession
     total = src.agg(F.sum(F.octet_length("text").cast("long")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     blocks = max(1, -(-(total["b"] or 0) // block_bytes))
-    encode = encoder(tokenizer_json)
+    pieces = pieces_of(tokenizer_json)
+    kind = id_kind(pieces)
     head = head_words(src, total["n"])
-    # at most HEAD_WORDS words of at most HEAD_WORD_BYTES bytes
-    known = spark.sparkContext.broadcast(dict(zip(head, encode(head))))
+    # at most HEAD_WORDS words of at most HEAD_WORD_BYTES bytes, and the vocabulary
+    known = spark.sparkContext.broadcast(dict(zip(head, encoder(tokenizer_json, kind)(head))))
+    vocabulary = spark.sparkContext.broadcast(pieces)
+    id_type = src.schema["doc_id"].dataType.simpleString()
+
+    def pack(batches):
+        import zstandard
+        zip_ = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            texts_ = pa.array((zip_.compress(t.as_py().encode()) for t in b.column(2)), pa.binary(), size=b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), texts_], ["block", "doc_id", "packed"])
+
+    # the texts travel once, compressed; both uses below read the same exchange
+    dealt = (src.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text")
+             .mapInArrow(pack, f"block long, doc_id {id_type}, packed binary").repartition("block"))
 
-    vocabulary = spark.sparkContext.broadcast(pieces_of(tokenizer_json))
-    dealt = src.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
+    def unpack(t: pa.Table) -> list[bytes]:
+        import zstandard
+        unzip = zstandard.ZstdDecompressor()
+        return [unzip.decompress(x.as_py()) for x in t.column("packed")]
 
     def list_words(t: pa.Table) -> pa.Table:
-        words = distinct_words([x.as_py().encode() for x in t.column("text")], known.value)
+        words = distinct_words(unpack(t), known.value)
         n = len(words)
         return pa.table({"block": pa.array([t.column("block")[0].as_py()] * n, pa.int64()),
                          "at": pa.array(range(n), pa.int32()), "word": pa.array(words, pa.binary())})
 
     def encode_sorted(batches):
-        enc, last, ids = encoder(tokenizer_json), None, None
+        enc, last, ids = encoder(tokenizer_json, kind), None, None
         for b in batches:
             col = b.column(2).to_pylist()
             new = [w for i, w in enumerate(col) if w != (col[i - 1] if i else last)]
@@ -146,36 +167,47 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
     full = output == "full"
 
     def put_together(doc: pa.Table, words: pa.Table) -> pa.Table:
+        import gc
         import hashlib
         import numpy as np
+        gc.disable()  # millions of small objects without cycles
         pieces, common = vocabulary.value, known.value
-        raw = [x.as_py().encode() for x in doc.column("text")]
+        raw = unpack(doc)
         mine = distinct_words(raw, common)
-        order = np.argsort(words.column("at").to_numpy()) if len(mine) else []
-        column = words.column("ids").to_pylist() if len(mine) else []
-        table = dict(zip(mine, (column[i] for i in order)))
-        if len(column) != len(mine):
+        if words.num_rows != len(mine):
             raise ValueError("a block's words and their ids differ in number")
-        seen: dict[bytes, tuple[bytes, str]] = {}
+        order = np.argsort(words.column("at").to_numpy()) if mine else []
+        column = words.column("ids").to_pylist() if mine else []
+        table = dict(zip(mine, (column[i] for i in order)))
+        unit = "H" if kind == "<u2" else "I"
+        by_word, by_chunk = {}, {}
 
-        def look_up(chunk):
-            ids = b"".join(common[w] if w in common else table[w] for w in words_of(chunk))
-            seen[chunk] = got = (ids, " ".join(pieces[i] for i in np.frombuffer(ids, "<u4")))
+        def of_word(w):
+            ids = common[w] if w in common else table[w]
+            by_word[w] = got = (ids, " ".join([pieces[i] for i in memoryview(ids).cast(unit)]))
             return got
 
+        def of_chunk(c):
+            got = [by_word.get(w) or of_word(w) for w in words_of(c)]
+            if len(got) > 1:
+                got = [(b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[0]]))]
+            by_chunk[c] = got[0]
+            return got[0]
+
         n, a, b = [], [], []
         for t in raw:
-            got = [seen.get(c) or look_up(c) for c in t.split()]
-            ids, text = b"".join(g[0] for g in got), " ".join(g[1] for g in got if g[0])
-            n.append(len(ids) // 4)
-            a.append(np.frombuffer(ids, "<u4").astype(np.int32) if full else hashlib.sha256(ids).hexdigest())
+            got = [by_chunk.get(c) or of_chunk(c) for c in t.split()]
+            ids = np.frombuffer(b"".join([g[0] for g in got]), kind)
+            text = " ".join([g[1] for g in got if g[0]])
+            n.append(len(ids))
+            a.append(ids.astype(np.int32) if full else hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
             b.append(text if full else hashlib.sha256(text.encode()).hexdigest())
-        kind = pa.list_(pa.int32()) if full else pa.string()
-        return pa.table([doc.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, kind), pa.array(b, pa.string())],
+        gc.enable()
+        list_kind = pa.list_(pa.int32()) if full else pa.string()
+        return pa.table([doc.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, list_kind), pa.array(b, pa.string())],
                         names=names)
 
     names = ["doc_id", "n_tokens"] + (["ids", "decoded"] if full else ["ids_sha256", "decoded_sha256"])
-    id_kind = src.schema["doc_id"].dataType.simpleString()
-    kinds = [id_kind, "long", "array<int>" if full else "string", "string"]
+    kinds = [id_type, "long", "array<int>" if full else "string", "string"]
     return (dealt.groupBy("block").cogroup(encoded.groupBy("block"))
             .applyInArrow(put_together, ", ".join(f"{a} {b}" for a, b in zip(names, kinds))))
