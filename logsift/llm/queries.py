@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm import bpe, dedup, simhash, token_counts
+from logsift.llm import bpe, dedup, simhash, token_counts, warc
 from logsift.llm.common import table
 
 QUERIES = {}
@@ -56,3 +56,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_bpe_encode_decode")
 def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json").decode())
+
+
+@query("op8_warc")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
