@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from logsift.llm.common import texts
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 48 << 20
 HEAD_WORDS = 1 << 16
 HEAD_WORD_BYTES = 48
+#: Chunks that a task remembers.
+REMEMBERED = 150_000
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 20_000
 
@@ -40,11 +42,17 @@ def words_of(chunk: bytes) -> tuple[bytes, ...]:
     return (core.lower(),) if len(core) == len(chunk) else (core.lower(), chunk[len(core):])
 
 
-def distinct_words(whole: list[bytes], skip) -> list[bytes]:
-    chunks = set()
+def distinct_words(whole, skip) -> list[bytes]:
+    """Sorted words of an iterable of texts, without those of ``skip``."""
+    words, chunks = set(), set()
     for t in whole:
-        chunks.update(t.split())
-    return sorted({w for c in chunks for w in words_of(c)}.difference(skip))
+        new = set(t.split()).difference(chunks)
+        for c in new:
+            words.update(words_of(c))
+        if len(chunks) > REMEMBERED:
+            chunks.clear()
+        chunks.update(new)
+    return sorted(words.difference(skip))
 
 
 def id_kind(pieces: list[str]) -> str:
@@ -138,10 +146,10 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
     dealt = (src.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text")
              .mapInArrow(pack, f"block long, doc_id {id_type}, packed binary").repartition("block"))
 
-    def unpack(t: pa.Table) -> list[bytes]:
+    def unpack(t: pa.Table):
         import zstandard
         unzip = zstandard.ZstdDecompressor()
-        return [unzip.decompress(x.as_py()) for x in t.column("packed")]
+        return (unzip.decompress(x.as_py()) for x in t.column("packed"))
 
     def list_words(t: pa.Table) -> pa.Table:
         words = distinct_words(unpack(t), known.value)
@@ -172,30 +180,24 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
         import numpy as np
         gc.disable()  # millions of small objects without cycles
         pieces, common = vocabulary.value, known.value
-        raw = unpack(doc)
-        mine = distinct_words(raw, common)
+        mine = distinct_words(unpack(doc), common)
         if words.num_rows != len(mine):
             raise ValueError("a block's words and their ids differ in number")
-        order = np.argsort(words.column("at").to_numpy()) if mine else []
-        column = words.column("ids").to_pylist() if mine else []
-        table = dict(zip(mine, (column[i] for i in order)))
+        ids_of = words.column("ids").combine_chunks().take(pa.array(np.argsort(words.column("at").to_numpy()))) if mine else []
+        table = dict(zip(mine, (x.as_py() for x in ids_of)))
+        del mine, ids_of, words
         unit = "H" if kind == "<u2" else "I"
-        by_word, by_chunk = {}, {}
-
-        def of_word(w):
-            ids = common[w] if w in common else table[w]
-            by_word[w] = got = (ids, " ".join([pieces[i] for i in memoryview(ids).cast(unit)]))
-            return got
+        by_chunk = {}
 
         def of_chunk(c):
-            got = [by_word.get(w) or of_word(w) for w in words_of(c)]
-            if len(got) > 1:
-                got = [(b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[0]]))]
-            by_chunk[c] = got[0]
-            return got[0]
+            ids = b"".join([common[w] if w in common else table[w] for w in words_of(c)])
+            by_chunk[c] = got = (ids, " ".join([pieces[i] for i in memoryview(ids).cast(unit)]))
+            return got
 
         n, a, b = [], [], []
-        for t in raw:
+        for t in unpack(doc):
+            if len(by_chunk) > REMEMBERED:
+                by_chunk.clear()
             got = [by_chunk.get(c) or of_chunk(c) for c in t.split()]
             ids = np.frombuffer(b"".join([g[0] for g in got]), kind)
             text = " ".join([g[1] for g in got if g[0]])

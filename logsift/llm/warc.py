@@ -113,24 +113,31 @@ def with_offsets(pieces: DataFrame) -> DataFrame:
 
 
 def pieces_of(spark: SparkSession, path: str) -> DataFrame:
-    """The archives cut at every version line: file, part (split start), at (order), bytes, value."""
+    """The archives cut at every version line: file (hash of its path), part (split start), at (order), bytes, value."""
     return spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"),
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"),
         F.monotonically_increasing_id().alias("at"), F.octet_length("value").cast("long").alias("bytes"), "value")
 
 
-def payload_of(block: Column, content_type: Column) -> Column:
+def payload_of(block: Column, http_head: Column) -> Column:
     """The payload of a record's block (bytes): what follows the HTTP head, if it has one."""
     http = F.octet_length(F.substring_index(block.cast("string"), END, 1)) + len(END)
-    return F.when(content_type.startswith("application/http"), F.substr(block, http + 1)).otherwise(block)
+    return F.when(http_head, F.substr(block, http + 1)).otherwise(block)
 
 
 def reachable(links: DataFrame) -> DataFrame:
     """(file, off) of the candidates on the chain from offset 0; ``links``: file, off, next.
 
+    Files are told apart by a 64-bit hash of their paths; equal hashes would show
+    as two candidates at offset 0, which is an error.
+
     After round k, ``next`` is 2^k records ahead and the first 2^k records are seen.
     """
-    most = links.groupBy("file").count().agg(F.max("count")).first()[0] or 0
+    per_file = links.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("off") == 0).cast("int")).alias("starts"))
+    most, starts = per_file.agg(F.max("n"), F.max("starts")).first()
+    if (starts or 0) > 1:
+        raise ValueError("two archive paths have the same hash")
+    most = most or 0
     state = links.select("file", "off", "next", (F.col("off") == 0).alias("seen"))
     for _ in range(max(0, most - 1).bit_length()):
         ahead = state.select("file", F.col("off").alias("next"), F.col("next").alias("after"))
@@ -158,20 +165,20 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                            "start": F.octet_length("head").cast("long") + len(END)})
     whole = F.col("start") + F.col("length") <= F.col("bytes")
     block = F.when(whole, F.substr(bytes_, (F.col("start") + 1).cast("int"), F.col("length").cast("int")))
-    cut = cut.withColumn("payload", payload_of(block, header_field(F.col("head"), "Content-Type")))
-    narrow = checkpoint(cut.select(
+    cut = cut.withColumn("payload", payload_of(block, header_field(F.col("head"), "Content-Type").startswith("application/http")))
+    narrow = cut.select(
         "file", "part", "at", "bytes", "length", "start", header_field(F.col("head"), "WARC-Type").alias("type"),
         F.regexp_extract(header_field(F.col("head"), "WARC-Record-ID"), "<urn:page:(.*)>", 1).alias("name"),
         F.regexp_extract(header_field(F.col("head"), "WARC-Refers-To"), "<urn:page:(.*)>", 1).alias("refers"),
-        header_field(F.col("head"), "Content-Type").alias("content"),
+        header_field(F.col("head"), "Content-Type").startswith("application/http").alias("http"),
         F.when(F.col("type") == "revisit", F.regexp_replace(header_field(F.col("head"), "WARC-Payload-Digest"), "^sha1:", ""))
-        .otherwise(base32_sha1(F.col("payload"))).alias("digest"), F.octet_length("payload").cast("long").alias("size"), whole.alias("whole")))
+        .otherwise(base32_sha1(F.col("payload"))).alias("digest"), F.octet_length("payload").cast("long").alias("size"), whole.alias("whole"))
     placed = with_offsets(narrow)
-    candidates = checkpoint(placed.where((F.col("off") >= 0) & F.col("length").isNotNull())
+    candidates = checkpoint(placed.where((F.col("off") >= 0) & F.col("length").isNotNull()).drop("part", "at", "bytes")
                             .withColumn("next", F.col("off") + len(MAGIC) + F.col("start") + F.col("length") + len(END)))
     chain = candidates.join(reachable(candidates), ["file", "off"], "left_semi")
     good = chain.where("whole").select("file", "off", "type", "name", "refers", "digest", "size")
-    broken = checkpoint(chain.where(~F.col("whole")).select("file", "off", "next", "length", "start", "type", "name", "refers", "content"))
+    broken = checkpoint(chain.where(~F.col("whole")).select("file", "off", "next", "length", "start", "type", "name", "refers", "http"))
     if not broken.take(1):
         return good
     files = broken.select("file").distinct()
@@ -182,10 +189,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     owned = (parts.withColumn("owner", F.lit(None).cast("long")).unionByName(marks)
              .withColumn("owner", F.last("owner", ignorenulls=True).over(w)).where(F.col("value").isNotNull()))
     owned = owned.join(broken.withColumnRenamed("off", "owner"), ["file", "owner"]).where(F.col("piece") < F.col("next"))
-    full = owned.groupBy("file", F.col("owner").alias("off"), "length", "start", "type", "name", "refers", "content").agg(
+    full = owned.groupBy("file", F.col("owner").alias("off"), "length", "start", "type", "name", "refers", "http").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("piece", "value"))), lambda x: x["value"]), MAGIC).alias("text"))
     block = F.substr(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("length").cast("int"))
-    full = full.withColumn("payload", payload_of(block, F.col("content")))
+    full = full.withColumn("payload", payload_of(block, F.col("http")))
     return good.union(full.select("file", "off", "type", "name", "refers", base32_sha1(F.col("payload")).alias("digest"),
                                   F.octet_length("payload").cast("long").alias("size")))
 
