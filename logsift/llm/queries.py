@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm import bpe, dedup, simhash, token_counts, warc
+from logsift.llm import bpe, dedup, secrets, simhash, token_counts, warc
 from logsift.llm.common import table
 
 QUERIES = {}
@@ -61,3 +61,8 @@ def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_warc")
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
