@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm import bpe, dedup, secrets, simhash, token_counts, warc
+from logsift.llm import bpe, decontam, dedup, langid, secrets, simhash, token_counts, toxicity, warc
 from logsift.llm.common import table
 
 QUERIES = {}
@@ -66,3 +66,21 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_secret_scan")
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score_texts(docs, model, threshold=0.3)
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(langid.training_sample(docs)))
+
+
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
