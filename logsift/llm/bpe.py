@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from logsift.llm.common import texts
 
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 32 << 20
 HEAD_WORDS = 1 << 16
 HEAD_WORD_BYTES = 48
 #: Chunks that a task remembers.
-REMEMBERED = 150_000
+REMEMBERED = 80_000
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 20_000
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm import bpe, decontam, dedup, langid, secrets, simhash, token_counts, toxicity, warc
+from logsift.llm import bpe, decontam, dedup, langid, pii, secrets, simhash, token_counts, toxicity, warc
 from logsift.llm.common import table
 
 QUERIES = {}
@@ -84,3 +84,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_decontamination")
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.fit(pii.training_sample(docs)))
