@@ -214,7 +214,7 @@ def fit(sample: list[str], steps: int = 350, batch: int = 48, seed: int = 5) ->
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
-            p[k] -= 0.05 * min(1.0, 2 - 2 * step / (steps + 1)) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)
+            p[k] -= 0.03 * min(1.0, 2 - 2 * step / (steps + 1)) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)
     return PiiModel({k: a.astype(np.float32) for k, a in p.items()})
 
 

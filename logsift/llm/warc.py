@@ -7,15 +7,17 @@ WARC asks for.
 
 Reading.  The archives are split at the version line, so that any task can read any
 part of a file.  Every hit is only a candidate: it has a byte offset, and its
-Content-Length gives the offset of its successor.  Starting from the file's first
-byte, pointer jumping doubles the known part of the chain in each round; hits off
-the chain stand inside payloads and are rejected.  Payloads are digested in the
+Content-Length gives the offset of its successor.  Runs of candidates that follow one another are
+taken as one; starting from the file's first byte, pointer jumping doubles the
+known part of the chain of runs in each round; hits off the chain stand inside
+payloads and are rejected.  Payloads are digested in the
 first scan; only records whose payload holds the version line are put together
 from their pieces in a second one.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from logsift.llm.common import checkpoint, spread_join, text_of
@@ -37,6 +39,30 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), BASE32_DIGITS, BASE32_LETTERS)
 
 
+def _recode(df: DataFrame, kind: str, pack: bool) -> DataFrame:
+    """The ``payload`` column compressed (binary) or plain again (string), in bounded batches."""
+    def run(batches):
+        import zstandard
+        zip_, unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        for b in batches:
+            at = b.schema.get_field_index("payload")
+            old = b.column(at)
+            new = (pa.array((zip_.compress(x.as_py().encode()) for x in old), pa.binary(), size=len(old)) if pack else
+                   pa.array((unzip.decompress(x.as_py()).decode() for x in old), pa.string(), size=len(old)))
+            yield pa.RecordBatch.from_arrays([new if i == at else b.column(i) for i in range(b.num_columns)], b.schema.names)
+
+    schema = ", ".join(f"`{n}` {kind if n == 'payload' else t}" for n, t in df.dtypes)
+    return df.mapInArrow(run, schema)
+
+
+def packed(df: DataFrame) -> DataFrame:
+    return _recode(df, "binary", True)
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return _recode(df, "string", False)
+
+
 def record_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                  min_bytes: int = 0) -> DataFrame:
     """``value``: the text of one WARC record per page, without the two closing line ends.
@@ -50,10 +76,12 @@ def record_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                        text_of(payload_col).alias("payload"))
     size = F.octet_length("payload")
     # payloads below min_bytes are no copies of each other: their pages are keys of their own
-    own = F.when(size < min_bytes, F.struct("id", "url"))
+    own = F.when(size < min_bytes, F.sha2(F.to_json(F.struct("id", "url")), 256))
     src = src.withColumns({"sha": F.unhex(F.sha2("payload", 256)), "own": own})
     top = F.struct("id", "url", "name", "payload")
-    responses = src.groupBy("sha", "own").agg(F.max(top).alias("t")).select("t.*").withColumns(
+    # payloads travel compressed; copies are combined before the exchange
+    responses = unpacked(packed(src.select("sha", "own", "id", "url", "name", "payload")).groupBy("sha", "own")
+                         .agg(F.max(top).alias("t")).select("sha", "own", "t.*")).withColumns(
         {"digest": base32_sha1(F.col("payload")), "size": size})
 
     rows = (src.groupBy("sha", "own", "id", "name", "url").agg(F.count(F.lit(1)).alias("n"), F.first(size).alias("size"),
@@ -82,9 +110,7 @@ def record_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     small = F.col("size") < min_bytes
     if min_bytes > 0:  # further copies of one row below the bound are responses of their own
         more = rows.where(small & (F.col("n") > 1)).withColumn("copy", F.explode(F.sequence(F.lit(2).cast("long"), F.col("n"))))
-        more = more.select("sha", "own", "copy").join(
-            responses.where(small).withColumn("sha", F.unhex(F.sha2("payload", 256))).withColumn("own", F.struct("id", "url")),
-            ["sha", "own"])
+        more = more.select("sha", "own", "copy").join(responses.where(small), ["sha", "own"])
         kept = kept.union(more.select(F.concat(
             head("response", F.col("name"), F.col("size") + len(HTTP_HEAD + END),
                  [F.lit("\r\nContent-Type: application/http; msgtype=response")]), http, F.col("payload"))))
@@ -125,19 +151,13 @@ def payload_of(block: Column, http_head: Column) -> Column:
     return F.when(http_head, F.substr(block, http + 1)).otherwise(block)
 
 
-def reachable(links: DataFrame) -> DataFrame:
-    """(file, off) of the candidates on the chain from offset 0; ``links``: file, off, next.
-
-    Files are told apart by a 64-bit hash of their paths; equal hashes would show
-    as two candidates at offset 0, which is an error.
+def reached(links: DataFrame) -> DataFrame:
+    """(file, off) of the nodes on the chain from offset 0; ``links``: file, off, next.
 
-    After round k, ``next`` is 2^k records ahead and the first 2^k records are seen.
+    After round k, ``next`` is 2^k nodes ahead and the first 2^k nodes are seen.
     """
-    per_file = links.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("off") == 0).cast("int")).alias("starts"))
-    most, starts = per_file.agg(F.max("n"), F.max("starts")).first()
-    if (starts or 0) > 1:
-        raise ValueError("two archive paths have the same hash")
-    most = most or 0
+    per_file = links.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    most = per_file.agg(F.max("n")).first()[0] or 0
     state = links.select("file", "off", "next", (F.col("off") == 0).alias("seen"))
     for _ in range(max(0, most - 1).bit_length()):
         ahead = state.select("file", F.col("off").alias("next"), F.col("next").alias("after"))
@@ -151,6 +171,26 @@ def reachable(links: DataFrame) -> DataFrame:
     return state.where("seen").select("file", "off")
 
 
+def reachable(candidates: DataFrame) -> DataFrame:
+    """(file, off) of the candidates on the chain from offset 0; ``candidates``: file, off, next.
+
+    Candidates of which each is the other's successor form a run: who enters a run
+    leaves it at its end.  Pointer jumping goes over runs, one per file where no
+    payload holds a version line; a run is entered once, as offsets only grow.
+    """
+    w = Window.partitionBy("file").orderBy("off")
+    here = candidates.select("file", "off", "next", F.coalesce(F.lag("next").over(w) != F.col("off"), F.lit(True)).alias("first"))
+    here = checkpoint(here.withColumn("run", F.last(F.when(F.col("first"), F.col("off")), ignorenulls=True).over(w)).drop("first"))
+    runs = here.groupBy("file", "run").agg(F.max_by("next", "off").alias("exit"))
+    entered = here.select("file", F.col("off").alias("exit"), F.col("run").alias("to"))
+    links = checkpoint(runs.join(entered, ["file", "exit"], "left"))
+    on = reached(links.select("file", F.col("run").alias("off"), F.col("to").alias("next"))).withColumnRenamed("off", "run")
+    entries = (links.where(F.col("to").isNotNull()).join(on, ["file", "run"])
+               .select("file", F.col("to").alias("run"), F.col("exit").alias("entry")))
+    entries = entries.union(on.where(F.col("run") == 0).select("file", "run", F.lit(0).cast("long")))
+    return here.join(entries, ["file", "run"]).where(F.col("off") >= F.col("entry")).select("file", "off")
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record on the chain: file, off, type, name, refers, digest, size (payload bytes).
 
