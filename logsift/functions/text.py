@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,31 +35,38 @@ def truncate(c, n: int = MAX_MESSAGE_LENGTH) -> Column:
     return F.substring(_col(c), 1, n)
 
 
-def _nfkd_batch(s: pd.Series) -> pd.Series:
-    # ASCII text is already NFKD: only the rest pays for Python.
-    return pd.Series([x if x is None or x.isascii() else unicodedata.normalize("NFKD", x) for x in s],
-                     index=s.index, dtype=object)
+def _nfkd_batch(a: pa.Array) -> pa.Array:
+    import pyarrow.compute as pc
+    return pc.utf8_normalize(a, form="NFKD")
+
 
+_nfkd_udf = F.arrow_udf(_nfkd_batch, T.StringType())
 
-nfkd = F.pandas_udf(_nfkd_batch, T.StringType())
-nfkd.__doc__ = "NFKD normalisation (H3), Arrow-batched with an ASCII fast path."
 
+def nfkd(c) -> Column:
+    """NFKD normalisation (H3): ASCII text is already NFKD and goes to Python as null."""
+    x = _col(c)
+    return F.coalesce(_nfkd_udf(F.when(~is_ascii(x), x)), x)
 
-def standardise_text(c, max_length: int = MAX_MESSAGE_LENGTH, do_truncate: bool = True,
+
+def standardise_text(c, max_length: int | None = None, do_truncate: bool = True,
                      unicode_normalise: bool = True) -> Column:
-    """NFKD -> strip control -> collapse whitespace -> truncate -> trim (H5)."""
+    """NFKD -> strip control -> collapse whitespace -> truncate -> trim (H5).
+
+    Whole texts by default; ``max_length`` asks for the cut (H4)."""
     x = _col(c)
     if unicode_normalise:
         x = nfkd(x)
     x = collapse_ws(strip_control(x))
-    if do_truncate:
+    if do_truncate and max_length is not None:
         x = truncate(x, max_length)
     return F.trim(x)
 
 
-def clean_text_no_nfkd(c, max_length: int = MAX_MESSAGE_LENGTH) -> Column:
-    """H2 -> H1 -> H4 -> trim, all JVM-side (what H5 is on NFKD-stable text)."""
-    return F.trim(truncate(collapse_ws(strip_control(_col(c))), max_length))
+def clean_text_no_nfkd(c, max_length: int | None = None) -> Column:
+    """H2 -> H1 -> H4 if a length is given -> trim, all JVM-side (what H5 is on NFKD-stable text)."""
+    x = collapse_ws(strip_control(_col(c)))
+    return F.trim(x if max_length is None else truncate(x, max_length))
 
 
 def preview(c, n: int = 200) -> Column:
@@ -89,4 +94,4 @@ def is_ascii(c) -> Column:
 
 def register_functions(spark) -> None:
     """Expose NFKD to SQL (the rest are built-ins already)."""
-    spark.udf.register("nfkd", nfkd)
+    spark.udf.register("nfkd", _nfkd_udf)

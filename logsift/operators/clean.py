@@ -308,7 +308,7 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     step5, out_log = cap_outliers(step4, outlier_fields, max_rows=n4)
     # order (F1)
     step6 = order_by_time(step5, "timestamp", pos_col) if "timestamp" in df.columns else step5
-    errors = validate(step6, contract) if validate_output else None
+    errors = validate(step6, contract, pos_col=pos_col) if validate_output else None
 
     log_rows = list(plan.log)
     s = len(log_rows)

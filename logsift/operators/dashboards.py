@@ -65,8 +65,10 @@ def hourly_metrics(logs: DataFrame, include_all: bool = True, ts: str = "timesta
                        F.upper(F.col("log_level")).isin(*ERROR_LEVELS).alias("_err"), rt.alias("_rt"))
     aggs = [F.count(F.lit(1)).alias("log_count"), F.count_if("_err").alias("_errors"), F.avg("_rt").alias("_avg_rt")]
     if include_all:
-        g = base.groupingSets([["hour", "server_id"], ["hour"]], "hour", "server_id").agg(*aggs)
-        g = g.withColumn("server_id", F.coalesce("server_id", F.lit("all")))
+        g = base.groupingSets([["hour", "server_id"], ["hour"]], "hour", "server_id").agg(
+            *aggs, F.grouping("server_id").alias("_all"))
+        # a null server stays a null server: only the grand row of an hour is 'all'
+        g = g.withColumn("server_id", F.when(F.col("_all") == 1, "all").otherwise(F.col("server_id")))
     else:
         g = base.groupBy("hour", "server_id").agg(*aggs)
     return g.select(to_ntz("hour").alias("timestamp"), "server_id", "log_count",
@@ -164,10 +166,11 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 def status_hierarchy(status: DataFrame) -> DataFrame:
     """status -> server hierarchy as (label, parent, value) via ROLLUP without the grand total."""
-    r = status.rollup("status", "server_id").agg(F.count(F.lit(1)).alias("value")).where(F.col("status").isNotNull())
-    return r.select(F.coalesce("server_id", "status").alias("label"),
-                    F.when(F.col("server_id").isNull(), F.lit("")).otherwise(F.col("status")).alias("parent"),
-                    "value")
+    r = status.rollup("status", "server_id").agg(F.count(F.lit(1)).alias("value"), F.grouping("status").alias("_total"),
+                                                 F.grouping("server_id").alias("_root")).where(F.col("_total") == 0)
+    # grouping(), not null tests: a server without a name is a leaf of its status
+    return r.select(F.when(F.col("_root") == 1, F.col("status")).otherwise(F.col("server_id")).alias("label"),
+                    F.when(F.col("_root") == 1, F.lit("")).otherwise(F.col("status")).alias("parent"), "value")
 
 
 def server_index(status: DataFrame) -> DataFrame:

@@ -318,6 +318,9 @@ def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]],
             acc = 0
             for bk in buckets:
                 if bk["b"] == 0:
+                    if bk["cnt"] > rank:  # the bracket lies too high: widen it to the values below
+                        state[k] = (bk["bmin"], bk["bmax"])
+                        break
                     acc += bk["cnt"]
                     continue
                 if acc + bk["cnt"] > rank:
@@ -329,7 +332,11 @@ def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]],
                     break
                 acc += bk["cnt"]
             else:
-                raise RuntimeError(f"quantile bracket for {k} does not hold the rank")
+                # the bracket lies too low: widen it to the column's largest value
+                top = long.where(F.col("column") == c).agg(F.max("v")).first()[0]
+                if top is None or top <= hi:
+                    raise RuntimeError(f"quantile bracket for {k} does not hold the rank")
+                state[k] = (lo, top)
         if finals:
             _resolve_slices(spark, long, finals, wanted)
 

@@ -52,9 +52,9 @@ def gate_recommendations(gates: DataFrame) -> DataFrame:
     return bad.unionByName(ok)
 
 
-def audit(df: DataFrame, name: str, max_numeric: int = 10, k: float = 1.5) -> DataFrame:
+def audit(df: DataFrame, name: str, max_numeric: int | None = None, k: float = 1.5) -> DataFrame:
     """Dataset audit (J9): missing (>0 only), duplicates, unguarded k=1.5 outliers
-    over the first ``max_numeric`` numeric columns that have a value; percents of
+    over all numeric columns that have a value (or the first ``max_numeric``); percents of
     all rows.  Long form (dataset, section, column, metric, value, text)."""
     spark = df.sparkSession
     cols = df.columns

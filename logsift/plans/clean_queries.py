@@ -241,8 +241,8 @@ def q_imputation_log(spark, sf):
 # --- H1-H5 -----------------------------------------------------------------------
 
 @query("clean_text", f"""
-SELECT doc_id, {CS.text_clean_sql('text')} AS text_clean,
-  text IS DISTINCT FROM {CS.text_clean_sql('text')} AS changed FROM documents""")
+SELECT doc_id, {CS.text_clean_sql('text', None)} AS text_clean,
+  text IS DISTINCT FROM {CS.text_clean_sql('text', None)} AS changed FROM documents""")
 def q_clean_text(spark, sf):
     """H2 -> H1 -> H4 -> trim on whole documents (JVM-side regexes)."""
     d = table(spark, sf, "documents")

@@ -83,7 +83,7 @@ def q_kpis(spark, sf):
 
 
 HOURLY_SQL = """
-SELECT date_trunc('hour', "timestamp") AS "timestamp", coalesce(server_id, 'all') AS server_id, count(*) AS log_count,
+SELECT date_trunc('hour', "timestamp") AS "timestamp", CASE WHEN GROUPING(server_id) = 1 THEN 'all' ELSE server_id END AS server_id, count(*) AS log_count,
        round(count(*) FILTER (WHERE upper(log_level) IN ('ERROR', 'CRITICAL')) / count(*), 6) AS error_rate,
        CAST(NULL AS DOUBLE) AS avg_response_time
 FROM logs GROUP BY GROUPING SETS ((date_trunc('hour', "timestamp"), server_id), (date_trunc('hour', "timestamp")))"""

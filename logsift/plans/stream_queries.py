@@ -38,6 +38,7 @@ def run_stream(spark, sf: str) -> str:
     raw = P.read_source(spark, src, max_files_per_trigger=4)
     q = P.start(spark, raw, out, ck, delay=TEST_DELAY, available_now=True)
     q.awaitTermination()
+    q.quarantine.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     _RUNS[key] = out

@@ -19,11 +19,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsift.functions.rules import classify_status, severity_of_level
+from logsift.contracts import MAX_MESSAGE_LENGTH
 from logsift.functions.text import standardise_text
 from logsift.functions.time import floor_time, parse_ts
 from logsift.operators.dashboards import ERROR_LEVELS
@@ -92,6 +94,7 @@ def read_source(spark: SparkSession, path: str | None = None, kafka: dict | None
 def ingest(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """Decode JSON; ``_corrupt_record`` is set on rows that do not parse (K2)."""
     full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+    # "value" of a text or Kafka source
     parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     return raw.select(parsed.alias("r")).select("r.*")
 
@@ -103,7 +106,19 @@ def clean_stream(df: DataFrame) -> DataFrame:
     return (df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
             .withColumn("timestamp", parse_ts("timestamp"))
             .where(F.col("timestamp").isNotNull())
-            .withColumn("message", standardise_text("message")))
+            .withColumn("message", standardise_text("message", MAX_MESSAGE_LENGTH)))
+
+
+def quarantined(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+    """Raw records that ``clean_stream`` does not take: (value, reason) (K2).
+
+    Reasons: ``corrupt`` (no JSON record), ``timestamp`` (missing or not a time)."""
+    full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+    r = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    reason = (F.when(F.col("r").isNull() | F.col("r._corrupt_record").isNotNull(), "corrupt")
+              .when(parse_ts("r.timestamp").isNull(), "timestamp"))
+    return (raw.select("value", r.alias("r")).withColumn("reason", reason)
+            .where(F.col("reason").isNotNull()).select("value", "reason"))
 
 
 def dedup_stream(df: DataFrame, delay: str = DEFAULT_DELAY, seconds: int = 1) -> DataFrame:
@@ -125,6 +140,10 @@ def is_anomaly_row() -> Column:
 class Tables:
     root: str
 
+    @property
+    def quarantine(self):
+        return f"{self.root}/quarantine"
+
     @property
     def anomalies(self):
         return f"{self.root}/anomalies"
@@ -171,10 +190,19 @@ def hourly_partials(batch: DataFrame) -> DataFrame:
                                                  F.count_if("_err").alias("errors"))
 
 
-def _latest_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None if nothing has been written there yet; other failures are raised."""
     try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - table not written yet
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _latest_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    df = _read_if_there(spark, path)
+    if df is None:
         return None
     if before is not None:
         df = df.where(F.col("batch_id") < before)
@@ -187,10 +215,8 @@ def _previous_alerts(spark: SparkSession, path: str, batch_id: int) -> DataFrame
     listing of every version); None before the first batch."""
     if batch_id == 0:
         return None
-    try:
-        return spark.read.parquet(f"{path}/batch_id={batch_id - 1}")
-    except Exception:  # noqa: BLE001 - previous batch wrote nothing
-        return _latest_version(spark, path, before=batch_id)
+    last = _read_if_there(spark, f"{path}/batch_id={batch_id - 1}")
+    return last if last is not None else _latest_version(spark, path, before=batch_id)
 
 
 def make_batch_writer(tables: Tables):
@@ -229,8 +255,24 @@ def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, d
     stream = dedup_stream(clean_stream(ingest(raw)), delay)
     w = (stream.writeStream.foreachBatch(make_batch_writer(Tables(out_root)))
          .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    return w.start()
+    # records that the job does not take are kept, with the reason, by a query of their own
+    bad = (quarantined(raw).writeStream.format("parquet").outputMode("append")
+           .option("checkpointLocation", f"{checkpoint}-quarantine").option("path", Tables(out_root).quarantine))
+    when = {"availableNow": True} if available_now else {"processingTime": trigger}
+    query = w.trigger(**when).start()
+    query.quarantine = bad.trigger(**when).start()
+    return query
+
+
+def read_quarantine(spark: SparkSession, out_root: str) -> DataFrame:
+    """Quarantined records (value, reason); empty if none has been written."""
+    df = _read_if_there(spark, Tables(out_root).quarantine)
+    return df if df is not None else spark.createDataFrame([], "value string, reason string")
+
+
+def dropped_late_rows(query) -> int:
+    """Rows that the watermark has dropped so far, by the query's progress reports."""
+    return sum(int(op.get("numRowsDroppedByWatermark") or 0) for p in query.recentProgress for op in p.get("stateOperators", []))
 
 
 # --- readers of the result tables -------------------------------------------------------
@@ -254,10 +296,9 @@ def _fold_hourly(p: DataFrame) -> DataFrame:
 def _base_and_partials(spark: SparkSession, partials_path: str, upto: int | None = None) -> DataFrame:
     """Latest compacted base (if any) plus the partials written after it."""
     base_path = partials_path + "_base"
-    base = None
-    try:
-        b = spark.read.parquet(base_path)
-        mx = b.agg(F.max("upto_batch")).first()[0]
+    base, mx = None, None
+    b = _read_if_there(spark, base_path)
+    if b is not None:
         if mx is not None and (upto is None or mx <= upto):
             base = b.where(F.col("upto_batch") == mx).drop("upto_batch")
         elif mx is not None:
@@ -266,8 +307,6 @@ def _base_and_partials(spark: SparkSession, partials_path: str, upto: int | None
                 base, mx = b.where(F.col("upto_batch") == ok).drop("upto_batch"), ok
             else:
                 mx = None
-    except Exception:  # noqa: BLE001 - no base yet
-        mx = None
     p = spark.read.parquet(partials_path)
     if mx is not None:
         p = p.where(F.col("batch_id") > mx)

@@ -31,7 +31,7 @@ def test_truncate_to_max_length(spark):
     assert len(out) == 100
 
 
-def _py_standardise(t, n=10000):
+def _py_standardise(t, n=None):
     if t is None:
         return None
     t = unicodedata.normalize("NFKD", t)

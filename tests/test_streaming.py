@@ -19,6 +19,7 @@ def test_stream_equals_batch(spark):
     q = P.start(spark, P.read_source(spark, f"{root}/src", max_files_per_trigger=1), f"{root}/out",
                 f"{root}/ck", delay="40 days", available_now=True)
     q.awaitTermination()
+    q.quarantine.awaitTermination()
     assert q.exception() is None
     st = {r["server_id"]: r["total_logs"] for r in P.read_status(spark, f"{root}/out").collect()}
     batch = {r["server_id"]: r["n"] for r in recs.groupBy("server_id").agg(F.count("*").alias("n")).collect()}
@@ -37,8 +38,25 @@ def test_stream_equals_batch(spark):
     assert {r["server_id"]: r["total_logs"] for r in P.read_status(spark, f"{root}/out").collect()} == batch
 
 
-def test_corrupt_records_are_quarantined(spark):
-    raw = spark.createDataFrame([('{"log_id": 1, "timestamp": "2024-01-01T00:00:00Z"}',), ("{broken",)], "value string")
-    dec = P.ingest(raw)
-    assert dec.where(F.col("_corrupt_record").isNotNull()).count() == 1
-    assert P.clean_stream(dec).count() == 1
+def test_bad_records_are_quarantined_and_counted(spark):
+    root = tempfile.mkdtemp(prefix="logsift-quarantine-")
+    good = ['{"log_id": %d, "timestamp": "2024-01-01T00:00:0%dZ", "server_id": "s", "message": "m"}' % (i, i) for i in range(5)]
+    bad = ["{broken", "not json", '{"log_id": 7, "timestamp": "never"}', '{"log_id": 8}']
+    raw = spark.createDataFrame([(x,) for x in good + bad], "value string")
+    assert P.clean_stream(P.ingest(raw)).count() == len(good)
+    raw.write.text(f"{root}/src")
+    q = P.start(spark, P.read_source(spark, f"{root}/src"), f"{root}/out", f"{root}/ck", available_now=True)
+    q.awaitTermination()
+    q.quarantine.awaitTermination()
+    got = sorted((r["value"], r["reason"]) for r in P.read_quarantine(spark, f"{root}/out").collect())
+    assert got == sorted(zip(bad, ["corrupt", "corrupt", "timestamp", "timestamp"]))
+    assert sum(r["total_logs"] for r in P.read_status(spark, f"{root}/out").collect()) == len(good)
+
+
+def test_null_server_is_no_grand_total(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", None, "INFO"), ("2024-01-01 00:10:00", "a", "ERROR")],
+                               "timestamp string, server_id string, log_level string").withColumn("timestamp", F.to_timestamp("timestamp"))
+    got = {r["server_id"]: r["log_count"] for r in DB.hourly_metrics(df).collect()}
+    assert got == {None: 1, "a": 1, "all": 2}
+    st = spark.createDataFrame([("healthy", None), ("healthy", "a")], "status string, server_id string")
+    assert sorted(map(str, map(tuple, DB.status_hierarchy(st).collect()))) == sorted(map(str, [("healthy", "", 2), (None, "healthy", 1), ("a", "healthy", 1)]))
