@@ -69,9 +69,16 @@ def label_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, ro
     the sample is at most labels x rows_per_label x max_chars characters.
     """
     from pyspark.sql import Window
-    src = docs.select(text_of(text_col).alias("text"), F.col(label_col).cast("string").alias("label"),
-                      F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    src = src.where(F.col("label").isNotNull() & (F.length("text").between(1, max_chars)))
+    label = F.col(f"`{label_col}`").cast("string")
+    # one row per label; rows whose hash is beyond four times the share needed go before anything moves
+    counts = {r["label"]: r["n"] for r in docs.select(label.alias("label")).where("label is not null").groupBy("label")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return []
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 4.0 * rows_per_label / n)))])
+    src = docs.select(text_of(text_col).alias("text"), label.alias("label"), F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h"))
+    src = src.where(F.col("label").isNotNull() & (F.pmod(F.col("h"), F.lit(1 << 20)) < share[F.col("label")] * (1 << 20))
+                    & F.length("text").between(1, max_chars))
     w = Window.partitionBy("label").orderBy("h", "text")
     rows = src.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= rows_per_label).select("text", "label", "h")
     return [(r["text"], r["label"]) for r in sorted(rows.collect(), key=lambda r: (r["label"], r["h"], r["text"]))]
