@@ -26,7 +26,7 @@ from logsift.session import scratch_path
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
-RECORDS_PER_FILE = 50_000
+RECORDS_PER_FILE = 20_000
 #: Digits 0-9A-V of base conversion, and the letters of RFC 4648 for them (fixed values).
 BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -118,10 +118,16 @@ def record_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-                   payload_col: str = "html", min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> str:
-    """Write uncompressed WARC files into the folder ``path``; see ``record_lines``."""
+                   payload_col: str = "html", min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE,
+                   compression: str = "none") -> str:
+    """Write WARC files into the folder ``path``; see ``record_lines``.
+
+    ``compression``: "none" (files can be split anywhere) or "gzip" (about a third of
+    the size; a file is read by one task, so ``records_per_file`` bounds its work).
+    Offsets always count plain bytes.
+    """
     (record_lines(pages, id_col, url_col, payload_col, min_bytes).write.mode("errorifexists")
-     .option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path))
+     .option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path))
     return path
 
 
@@ -238,7 +244,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def warc_round_trip(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url",
-                    payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
+                    payload_col: str = "html", min_bytes: int = 0, compression: str = "gzip") -> DataFrame:
     """Write the pages as WARC files, read them back and give one row per page:
     the id, payload_bytes, payload_digest, record_type and refers_to.
 
@@ -248,7 +254,8 @@ def warc_round_trip(pages: DataFrame, path: str | None = None, id_col: str = "pa
     """
     spark = pages.sparkSession
     id_type = pages.schema[id_col].dataType.simpleString()
-    path = write_archives(pages, path or scratch_path(spark, "warc"), id_col, url_col, payload_col, min_bytes)
+    path = write_archives(pages, path or scratch_path(spark, "warc"), id_col, url_col, payload_col, min_bytes,
+                          compression=compression)
     records = checkpoint(read_archives(spark, path))
     named = lambda c: F.when(F.col(c) != "", F.col(c)).cast(id_type)
     answers = records.where(F.col("type") == "response").groupBy("digest").agg(F.max("size").alias("full"))
