@@ -14,18 +14,25 @@ and broadcast; which words these are changes no result.
 
 from __future__ import annotations
 
+import os
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from logsift.llm.common import texts
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 40 << 20
 HEAD_WORDS = 1 << 16
 HEAD_WORD_BYTES = 48
 #: Chunks that a task remembers.
 REMEMBERED = 80_000
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 20_000
+#: Bytes of a text that are split into chunks at a time, and words encoded at a time.
+PART_BYTES = 1 << 20
+WORDS_AT_ONCE = 1000
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def words_of(chunk: bytes) -> tuple[bytes, ...]:
@@ -42,17 +49,40 @@ def words_of(chunk: bytes) -> tuple[bytes, ...]:
     return (core.lower(),) if len(core) == len(chunk) else (core.lower(), chunk[len(core):])
 
 
+def parts_of(text: bytes):
+    """A text in parts of about ``PART_BYTES``, cut at blanks (which no word holds)."""
+    at = 0
+    while len(text) - at > PART_BYTES:
+        cut = BLANK.search(text, at + PART_BYTES)
+        if not cut:
+            break
+        yield text[at:cut.start()]
+        at = cut.end()
+    yield text[at:] if at else text
+
+
 def distinct_words(whole, skip) -> list[bytes]:
     """Sorted words of an iterable of texts, without those of ``skip``."""
     words, chunks = set(), set()
     for t in whole:
-        new = set(t.split()).difference(chunks)
-        for c in new:
-            words.update(words_of(c))
-        if len(chunks) > REMEMBERED:
-            chunks.clear()
-        chunks.update(new)
-    return sorted(words.difference(skip))
+        for part in parts_of(t):
+            new = set(part.split()).difference(chunks)
+            for c in new:
+                words.update(words_of(c))
+            if len(chunks) > REMEMBERED:
+                chunks.clear()
+            chunks.update(new)
+    words.difference_update(skip)
+    return sorted(words)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def id_kind(pieces: list[str]) -> str:
@@ -63,14 +93,18 @@ def id_kind(pieces: list[str]) -> str:
 def encoder(tokenizer_json: str, kind: str):
     """A function from words to their ids as little-endian integers of that kind."""
     import numpy as np
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores already
     from tokenizers import Tokenizer
     tok = Tokenizer.from_str(tokenizer_json)
     tok.no_padding()
     tok.no_truncation()
 
     def encode(words):
-        got = tok.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype=kind).tobytes() for e in got]
+        out = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = [w.decode("utf-8", "replace") for w in words[at:at + WORDS_AT_ONCE]]
+            out += [np.array(e.ids, dtype=kind).tobytes() for e in tok.encode_batch(some, add_special_tokens=False)]
+        return out
     return encode
 
 
@@ -152,6 +186,7 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
         return (unzip.decompress(x.as_py()) for x in t.column("packed"))
 
     def list_words(t: pa.Table) -> pa.Table:
+        give_back()
         words = distinct_words(unpack(t), known.value)
         n = len(words)
         return pa.table({"block": pa.array([t.column("block")[0].as_py()] * n, pa.int64()),
@@ -168,6 +203,8 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
             out = [got[w] for w in col]
             last, ids = (col[-1], out[-1]) if col else (last, ids)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["block", "at", "ids"])
+        del enc
+        give_back()
 
     listed = dealt.groupBy("block").applyInArrow(list_words, "block long, at int, word binary")
     encoded = (listed.repartition("word").sortWithinPartitions("word")
@@ -178,6 +215,7 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
         import gc
         import hashlib
         import numpy as np
+        give_back()
         gc.disable()  # millions of small objects without cycles
         pieces, common = vocabulary.value, known.value
         mine = distinct_words(unpack(doc), common)
@@ -196,14 +234,26 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
 
         n, a, b = [], [], []
         for t in unpack(doc):
-            if len(by_chunk) > REMEMBERED:
-                by_chunk.clear()
-            got = [by_chunk.get(c) or of_chunk(c) for c in t.split()]
-            ids = np.frombuffer(b"".join([g[0] for g in got]), kind)
-            text = " ".join([g[1] for g in got if g[0]])
-            n.append(len(ids))
-            a.append(ids.astype(np.int32) if full else hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-            b.append(text if full else hashlib.sha256(text.encode()).hexdigest())
+            ids_of_text, texts_of_parts, count = [], [], 0
+            ids_hash, text_hash = hashlib.sha256(), hashlib.sha256()
+            for part in parts_of(t):
+                if len(by_chunk) > REMEMBERED:
+                    by_chunk.clear()
+                got = [by_chunk.get(c) or of_chunk(c) for c in part.split()]
+                ids = np.frombuffer(b"".join([g[0] for g in got]), kind)
+                text = " ".join([g[1] for g in got if g[0]])
+                if not len(ids):
+                    continue
+                if full:
+                    ids_of_text.append(ids.astype(np.int32))
+                    texts_of_parts.append(text)
+                else:
+                    ids_hash.update(ids.astype("<u4").tobytes())
+                    text_hash.update((" " + text if count else text).encode())
+                count += len(ids)
+            n.append(count)
+            a.append(np.concatenate([np.zeros(0, np.int32), *ids_of_text]) if full else ids_hash.hexdigest())
+            b.append(" ".join(texts_of_parts) if full else text_hash.hexdigest())
         gc.enable()
         list_kind = pa.list_(pa.int32()) if full else pa.string()
         return pa.table([doc.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, list_kind), pa.array(b, pa.string())],

@@ -66,3 +66,12 @@ def test_decode_join(spark):
     ids = tok.encode("Hello there, the 12 <|endoftext|> worlds", add_special_tokens=False).ids
     df = spark.createDataFrame([(1, ids), (2, []), (3, None)], "doc_id long, ids array<int>")
     assert {r.doc_id: r.decoded for r in bpe.decode(df, json).collect()} == {1: tok.decode(ids, skip_special_tokens=False), 2: "", 3: ""}
+
+
+def test_parts_of_a_text_lose_nothing(monkeypatch):
+    from logsift.llm import bpe
+    monkeypatch.setattr(bpe, "PART_BYTES", 7)
+    for t in (b"", b" ", b"one", b"a b c d e f g h i", b"averyveryverylongword and more", b"tail blank   \t\n", b"x" * 50):
+        parts = list(bpe.parts_of(t))
+        assert [w for p in parts for w in p.split()] == t.split()
+        assert all(len(p) <= 7 + max(map(len, t.split()), default=0) for p in parts[:-1])
