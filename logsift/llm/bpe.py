@@ -25,7 +25,7 @@ from logsift.llm.common import texts
 BLOCK_BYTES = 40 << 20
 HEAD_WORDS = 1 << 16
 HEAD_WORD_BYTES = 48
-#: Chunks that a task remembers.
+#: Chunks of more than one word, or not in lower case, that a task remembers.
 REMEMBERED = 80_000
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 20_000
@@ -61,19 +61,42 @@ def parts_of(text: bytes):
     yield text[at:] if at else text
 
 
-def distinct_words(whole, skip) -> list[bytes]:
-    """Sorted words of an iterable of texts, without those of ``skip``."""
+def distinct_words(whole, skip: dict) -> list[bytes]:
+    """Sorted words of an iterable of texts, without those of ``skip``.
+
+    A chunk that is a known word is the only word of itself; only the others are looked into.
+    """
     words, chunks = set(), set()
     for t in whole:
         for part in parts_of(t):
-            new = set(part.split()).difference(chunks)
-            for c in new:
-                words.update(words_of(c))
+            new = set(part.split()).difference(skip).difference(words).difference(chunks)
             if len(chunks) > REMEMBERED:
                 chunks.clear()
-            chunks.update(new)
-    words.difference_update(skip)
-    return sorted(words)
+            for c in new:
+                of_chunk = words_of(c)
+                words.update(of_chunk)
+                if of_chunk[0] != c:
+                    chunks.add(c)
+    return sorted(words.difference(skip))
+
+
+class WordIds(dict):
+    """Ids of the words of a block.  A chunk that is no word gets the ids of its words, the latest chunks are kept."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.recent = {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.recent.get(chunk)
+        if ids is None:
+            words = words_of(chunk)
+            if words[0] == chunk:
+                raise KeyError(chunk)
+            if len(self.recent) > REMEMBERED:
+                self.recent.clear()
+            self.recent[chunk] = ids = b"".join([self[w] for w in words])
+        return ids
 
 
 def give_back() -> None:
@@ -222,28 +245,19 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
         if words.num_rows != len(mine):
             raise ValueError("a block's words and their ids differ in number")
         ids_of = words.column("ids").combine_chunks().take(pa.array(np.argsort(words.column("at").to_numpy()))) if mine else []
-        table = dict(zip(mine, (x.as_py() for x in ids_of)))
+        table = WordIds(zip(mine, (x.as_py() for x in ids_of)))
+        table.update(common)
         del mine, ids_of, words
-        unit = "H" if kind == "<u2" else "I"
-        by_chunk = {}
-
-        def of_chunk(c):
-            ids = b"".join([common[w] if w in common else table[w] for w in words_of(c)])
-            by_chunk[c] = got = (ids, " ".join([pieces[i] for i in memoryview(ids).cast(unit)]))
-            return got
 
         n, a, b = [], [], []
         for t in unpack(doc):
             ids_of_text, texts_of_parts, count = [], [], 0
             ids_hash, text_hash = hashlib.sha256(), hashlib.sha256()
             for part in parts_of(t):
-                if len(by_chunk) > REMEMBERED:
-                    by_chunk.clear()
-                got = [by_chunk.get(c) or of_chunk(c) for c in part.split()]
-                ids = np.frombuffer(b"".join([g[0] for g in got]), kind)
-                text = " ".join([g[1] for g in got if g[0]])
+                ids = np.frombuffer(b"".join(map(table.__getitem__, part.split())), kind)
                 if not len(ids):
                     continue
+                text = " ".join(map(pieces.__getitem__, ids.tolist()))
                 if full:
                     ids_of_text.append(ids.astype(np.int32))
                     texts_of_parts.append(text)
