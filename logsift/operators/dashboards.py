@@ -84,6 +84,37 @@ def kpis(status: DataFrame) -> DataFrame:
                       pct(F.sum("error_count"), F.sum("total_logs")).alias("error_rate"))
 
 
+def kpis_or_estimates(status: DataFrame | None, anoms: DataFrame | None = None,
+                      statistics: DataFrame | None = None) -> DataFrame:
+    """KPI row (D16) from what there is: sums of the status table, else estimates from its anomaly
+    counts (10 logs an anomaly, 0.3 errors an anomaly), else the anomaly table and the statistics row.
+
+    Every input comes down to one row of totals."""
+    s: dict = {}
+    if status is not None:
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total_logs", "anomaly_count", "error_count")
+                if c in status.columns]
+        s = status.agg(F.count(F.lit(1)).alias("servers"), *sums).first().asDict()
+        s = s if s["servers"] else {}
+    st = statistics.first() if statistics is not None else None
+    st = st.asDict() if st is not None else {}
+    guess = s.get("anomaly_count", 0) * 10
+    total = s["total_logs"] if "total_logs" in s else guess if "anomaly_count" in s else st.get("total_logs") or 0
+    if "anomaly_count" in s:
+        found = s["anomaly_count"]
+    else:
+        found = (anoms.count() if anoms is not None else 0) or st.get("total_anomalies") or 0
+    errors = s["error_count"] if "error_count" in s else s.get("anomaly_count", 0) * 0.3
+    if "error_count" not in s and "anomaly_count" not in s:
+        errors = 0
+    of = s["total_logs"] if "error_count" in s and "total_logs" in s else total or guess
+    rate = round(errors * 100.0 / of, 2) if of else 0.0
+    servers = s.get("servers") or st.get("servers_monitored") or 10
+    spark = next(d for d in (status, anoms, statistics) if d is not None).sparkSession
+    return spark.createDataFrame([(int(total), int(found), int(servers), float(rate))],
+                                 "total_logs long, total_anomalies long, servers long, error_rate double")
+
+
 def pipeline_statistics(logs: DataFrame) -> DataFrame:
     """Statistics row (D22): totals, servers, time range."""
     return logs.agg(F.count(F.lit(1)).alias("total_logs"),
@@ -143,6 +174,18 @@ def alerts_by_severity(alerts: DataFrame, limit: int = 50) -> DataFrame:
             .where(F.col("display_order").isNotNull()))
 
 
+def alerts_grouped(alerts: DataFrame, limit: int = 50) -> DataFrame:
+    """The rows behind ``alerts_by_severity``: the latest ``limit`` alerts with their group's display
+    order and size and their place in it (E6).  The windows see at most ``limit`` rows."""
+    order = F.array(*[F.lit(s) for s in SEVERITY_DISPLAY_ORDER])
+    lat = latest(alerts, limit).withColumn("severity", F.coalesce(F.lower("severity"), F.lit("info")))
+    lat = lat.withColumn("display_order", (F.array_position(order, F.col("severity")) - 1).cast("int"))
+    group = W.partitionBy("severity")
+    return (lat.where(F.col("display_order") >= 0)
+            .withColumn("group_size", F.count(F.lit(1)).over(group))
+            .withColumn("place", F.row_number().over(group.orderBy(F.desc("timestamp"), F.desc("log_id")))))
+
+
 def alert_cards(alerts: DataFrame, limit: int = 50) -> DataFrame:
     """Display fields of the newest alerts: time text, preview, first present message."""
     msg = first_present(*[c for c in ("message", "description") if c in alerts.columns], default="No message")

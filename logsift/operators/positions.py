@@ -37,6 +37,7 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "pos
         acc += c
     if not offsets:
         return frozen.drop("_pid", "_rin").withColumn(name, F.lit(None).cast("long"))
-    omap = F.create_map(*[F.lit(x) for kv in offsets.items() for x in (int(kv[0]), int(kv[1]))])
-    return (frozen.withColumn(name, (F.element_at(omap, F.col("_pid")) + F.col("_rin")).cast("long"))
+    # an array is indexed directly, a map would be searched for every row
+    starts = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(max(offsets) + 1)])
+    return (frozen.withColumn(name, (F.get(starts, F.col("_pid")) + F.col("_rin")).cast("long"))
             .drop("_pid", "_rin"))

@@ -52,10 +52,41 @@ def gate_recommendations(gates: DataFrame) -> DataFrame:
     return bad.unionByName(ok)
 
 
-def audit(df: DataFrame, name: str, max_numeric: int | None = None, k: float = 1.5) -> DataFrame:
+#: Rows of the cleaning summary: action, its count in the summary, whether it has a percentage (fixed values).
+ACTIONS = (
+    ("Duplicates Removed", "duplicates_removed", True),
+    ("Missing Values Handled", "missing_filled", True),
+    ("Outliers Capped", "outliers_detected", True),
+    ("Text Fields Standardized", "text_standardized", False),
+    ("Timestamps Standardized", "timestamps_valid", False),
+)
+
+
+def cleaning_actions(summary: DataFrame) -> DataFrame:
+    """(action, count, percent of input rows or null) of a cleaning run."""
+    s = summary.groupBy().pivot("metric", ["initial_rows", *[m for _, m, _ in ACTIONS]]).agg(F.first("value"))
+    rows = [F.struct(F.lit(a).alias("action"), F.coalesce(F.col(m), F.lit(0)).alias("count"),
+                     (pct(m, "initial_rows") if share else F.lit(None).cast("double")).alias("percent"))
+            for a, m, share in ACTIONS]
+    return s.select(F.inline(F.array(*rows)))
+
+
+def full_quality_report(metrics: DataFrame, name: str, summary: DataFrame, errors: DataFrame) -> DataFrame:
+    """The quality metrics (J7) with the cleaning summary and the validation errors as sections of their own."""
+    null = F.lit(None).cast("string")
+    s = summary.select(F.lit(name).alias("dataset"), F.lit("summary").alias("section"), null.alias("column"), "metric",
+                       F.col("value").cast("double").alias("value"), null.alias("text"))
+    e = errors.select(F.lit(name).alias("dataset"), F.lit("validation").alias("section"), F.col("field").alias("column"),
+                      F.col("rule").alias("metric"), F.col("invalid_count").cast("double").alias("value"),
+                      F.col("message").alias("text"))
+    return metrics.unionByName(s).unionByName(e)
+
+
+def audit(df: DataFrame, name: str, max_numeric: int | None = None, k: float = 1.5, label: str = "label",
+          type_col: str = "anomaly_type") -> DataFrame:
     """Dataset audit (J9): missing (>0 only), duplicates, unguarded k=1.5 outliers
-    over all numeric columns that have a value (or the first ``max_numeric``); percents of
-    all rows.  Long form (dataset, section, column, metric, value, text)."""
+    over all numeric columns that have a value (or the first ``max_numeric``), and the
+    label statistics if there is a label column (D11); percents of all rows.  Long form (dataset, section, column, metric, value, text)."""
     spark = df.sparkSession
     cols = df.columns
     nums = S.numeric_columns(df)
@@ -79,7 +110,15 @@ def audit(df: DataFrame, name: str, max_numeric: int | None = None, k: float = 1
         for c in checked:
             rows.append((name, "outliers", c, "outliers", float(cnt[c]), None))
             rows.append((name, "outliers", c, "outlier_pct", round(cnt[c] / n * 100.0, 2) if n else 0.0, None))
-    return spark.createDataFrame(rows, METRIC_SCHEMA)
+    if label not in cols:
+        return spark.createDataFrame(rows, METRIC_SCHEMA)
+    st = S.label_stats(df, label).first()
+    rows += [(name, "labels", None, m, float(st[m]), None) for m in ("anomaly_pct", "class_imbalance")]
+    dist = S.label_distribution(df, label, type_col).select(
+        F.lit(name).alias("dataset"), F.lit("labels").alias("section"), F.col("value").alias("column"),
+        F.concat("kind", F.lit("_count")).alias("metric"), F.col("n").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("text"))
+    return spark.createDataFrame(rows, METRIC_SCHEMA).unionByName(dist)
 
 
 RULES = (

@@ -199,6 +199,14 @@ def label_stats(df: DataFrame, label: str = "label", type_col: str | None = "ano
                                              F.col("n").cast("double")), 2), F.lit(0.0)).alias("class_imbalance"))
 
 
+def label_distribution(df: DataFrame, label: str = "label", type_col: str | None = "anomaly_type") -> DataFrame:
+    """(kind, value, n): rows per label value and, if there is one, per type; nulls are not counted."""
+    kinds = [(k, c) for k, c in (("label", label), ("type", type_col)) if c in df.columns]
+    arr = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in kinds])
+    return (df.select(F.inline(arr)).where(F.col("value").isNotNull())
+            .groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
 def label_summary(df: DataFrame, by: str, label: str = "label") -> DataFrame:
     """Per group: rows, normal, anomalous, anomaly rate."""
     return (df.groupBy(by).agg(F.count(F.lit(1)).alias("n"),

@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logsift.contracts import K8S_LOG, Contract, FieldRule
 from logsift.functions import rules as R
@@ -102,8 +103,22 @@ def validate(df: DataFrame, contract: Contract = K8S_LOG, pos_col: str | None =
 
 # --- J6 -----------------------------------------------------------------------
 
-def _field_error(r: FieldRule, c: Column) -> Column:
-    """First failing rule of one value: required -> null -> range -> allowed."""
+TYPE_TEXT = {"string": "a string", "integer": "an integer", "float": "a float", "datetime": "a datetime or string"}
+INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+CONFORMING = {"string": (T.StringType,), "integer": INTEGERS,
+              "float": (*INTEGERS, T.FloatType, T.DoubleType, T.DecimalType),
+              "datetime": (T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType)}
+
+
+def _type_error(r: FieldRule, c: Column, dtype: T.DataType) -> Column | None:
+    """Condition for a value of the wrong type (B12); numbers may come as text that casts."""
+    if r.numeric and isinstance(dtype, T.StringType):
+        return R.nonconforming(c, r.dtype)
+    return None if isinstance(dtype, CONFORMING[r.dtype]) else c.isNotNull()
+
+
+def _field_error(r: FieldRule, c: Column, dtype: T.DataType) -> Column:
+    """First failing rule of one value: required -> null -> type -> range -> allowed."""
     e = None
 
     def add(cond, msg):
@@ -114,8 +129,13 @@ def _field_error(r: FieldRule, c: Column) -> Column:
         add(c.isNull(), F.lit(f"Required field '{r.name}' is missing"))
     elif not r.nullable:
         add(c.isNull(), F.lit(f"Field '{r.name}' cannot be null"))
+    wrong = _type_error(r, c, dtype)
+    if wrong is not None:
+        add(wrong, F.lit(f"Field '{r.name}' must be {TYPE_TEXT[r.dtype]}"))
     if r.numeric:
         txt = c.cast("string")
+        if not isinstance(dtype, CONFORMING["float"]):
+            c = txt.try_cast("double")
         if r.min is not None:
             add(c < F.lit(r.min), F.concat(F.lit(f"Field '{r.name}' value "), txt,
                                              F.lit(f" is below minimum {_py_num(r.min)}")))
@@ -131,7 +151,7 @@ def _field_error(r: FieldRule, c: Column) -> Column:
 
 def row_errors(df: DataFrame, contract: Contract = K8S_LOG, pos_col: str = "log_id") -> DataFrame:
     """(pos, n_errors, errors) - per row, the first failing rule of each field."""
-    msgs = F.filter(F.array(*[_field_error(r, F.col(r.name)) for r in contract if r.name in df.columns]),
+    msgs = F.filter(F.array(*[_field_error(r, F.col(r.name), df.schema[r.name].dataType) for r in contract if r.name in df.columns]),
                     lambda x: x.isNotNull())
     return df.select(F.col(pos_col), msgs.alias("_m")).select(
         pos_col, F.size("_m").cast("long").alias("n_errors"), F.concat_ws("; ", "_m").alias("errors"))

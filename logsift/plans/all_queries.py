@@ -6,3 +6,4 @@ from logsift.plans import label_queries  # noqa: F401
 from logsift.plans import dashboard_queries  # noqa: F401
 from logsift.plans import source_queries  # noqa: F401
 from logsift.plans import stream_queries  # noqa: F401
+from logsift.plans import coverage_queries  # noqa: F401

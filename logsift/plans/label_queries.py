@@ -28,7 +28,7 @@ FROM (SELECT l_orderkey, l_linenumber, """ + " + ".join(
 def q_system_labels(spark, sf):
     """C1 + H22: two-table join, p95 thresholds of the joined table, 7-indicator score."""
     j = L.join_metrics(table(spark, sf, "lineitem"), table(spark, sf, "orders").withColumnRenamed("o_orderkey", "l_orderkey"),
-                       ["l_orderkey"])
+                       ["l_orderkey"]).select("l_orderkey", "l_linenumber", *SYSTEM_METRICS, "l_returnflag", "o_orderstatus")
     s = L.score_system(j, SYSTEM_METRICS, [F.col("l_returnflag") == "R", F.col("o_orderstatus") == "F"])
     return s.select("l_orderkey", "l_linenumber", "anomaly_score", "label",
                     F.lit("system_anomaly").alias("anomaly_type"))

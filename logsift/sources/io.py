@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from typing import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,52 +19,76 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(fixes) if fixes else df
 
 
+def _no_parquet(e: Exception) -> bool:
+    """Whether a read failed because the file is no Parquet file."""
+    return any(x in str(e) for x in ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "UNABLE_TO_INFER_SCHEMA"))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               nan_as_null: bool = True) -> DataFrame:
-    """Parquet or CSV by suffix; Parquet falls back to CSV; other suffix -> error (A1, A2)."""
+               nan_as_null: bool = True, corrupt_col: str | None = None) -> DataFrame:
+    """Parquet or CSV by suffix; a file that is no Parquet is read as CSV; other suffix -> error (A1, A2).
+
+    With a schema and ``corrupt_col``, that column holds the text of CSV lines
+    that do not fit the schema (null for the others)."""
     lower = path.rstrip("/").lower()
     if lower.endswith(".parquet"):
         try:
-            df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
-            df.schema  # resolve now so a bad file falls back at plan time
-        except AnalysisException:
-            df = _read_csv(spark, path, schema)
+            df = spark.read.parquet(path)  # reads the footers, so a bad file shows here
+            if schema is not None:
+                df = spark.read.schema(schema).parquet(path)
+        except (PySparkException, Py4JJavaError) as e:
+            if not _no_parquet(e):
+                raise
+            df = _read_csv(spark, path, schema, corrupt_col)
     elif lower.endswith(".csv"):
-        df = _read_csv(spark, path, schema)
+        df = _read_csv(spark, path, schema, corrupt_col)
     else:
         raise ValueError(f"Unsupported file format: {os.path.splitext(lower)[1] or lower}")
     return nan_to_null(df) if nan_as_null else df
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None, corrupt_col: str | None = None) -> DataFrame:
     r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if schema is not None and corrupt_col:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
     if schema is not None:
         return r.schema(schema).csv(path)
     return r.option("inferSchema", True).csv(path)
 
 
+#: Fields that may wrap a document's list of records.
+WRAPPERS = ("anomalies", "alerts")
+
+
 def read_records(spark: SparkSession, path: str, list_field: str | None = None,
-                 schema: T.StructType | None = None) -> DataFrame:
-    """JSON document(s): an array, ``{list_field: [...]}`` or one object -> rows (A3)."""
-    r = spark.read.option("multiLine", True)
-    if schema is not None and list_field is None:
-        r = r.schema(schema)
-    df = r.json(path)
-    if list_field and list_field in df.columns:
-        df = df.select(F.explode(F.col(list_field)).alias("_r")).select("_r.*")
-    if schema is not None:
-        df = df.select([F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
-                        else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return df
+                 schema: T.StructType | None = None, lines: bool = False) -> DataFrame:
+    """JSON documents -> rows (A3): an array, an object that wraps a list (``list_field``,
+    else one of ``WRAPPERS``) or a single object; one document per file, or per line with ``lines``.
+
+    With a schema, shapes may be mixed and text that is no JSON is an error."""
+    r = spark.read.option("multiLine", not lines)
+    names = [list_field] if list_field else list(WRAPPERS)
+    if schema is None:
+        df = r.json(path)
+        found = [w for w in names if w in df.columns and isinstance(df.schema[w].dataType, T.ArrayType)]
+        return df.select(F.explode(found[0]).alias("_r")).select("_r.*") if found else df
+    names = [w for w in names if w not in schema.names]
+    df = (r.option("mode", "FAILFAST")
+          .schema(T.StructType([*schema.fields, *[T.StructField(w, T.ArrayType(schema)) for w in names]])).json(path))
+    single = F.array(F.struct(*[F.col(c) for c in schema.names]))
+    return df.select(F.explode(F.coalesce(*[F.col(w) for w in names], single)).alias("_r")).select("_r.*")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed empty table when the result does not exist yet (A4)."""
+    """Typed empty table when the result does not exist yet (A4); any other failure is raised."""
     try:
         if path.endswith(".json"):
             return read_records(spark, path, schema=schema)
         return read_table(spark, path, schema=schema)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -86,8 +111,11 @@ def write_table(df: DataFrame, path: str, also_csv: bool = False, max_rows_per_f
 
 
 def write_report(metrics: DataFrame, path: str, group_col: str = "section") -> None:
-    """Long metrics (section, column, metric, value, text) -> one nested JSON doc per section."""
-    nested = (metrics.groupBy(group_col)
+    """Long metrics (section, column, metric, value, text) -> one nested JSON doc per dataset and section.
+
+    One row per column and metric, so a document and the single output file stay small."""
+    keys = [c for c in ("dataset", group_col) if c in metrics.columns]
+    nested = (metrics.groupBy(*dict.fromkeys(keys))
               .agg(F.map_from_entries(F.collect_list(F.struct(
                   F.concat_ws(".", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("column", "metric")]),
                   F.coalesce(F.col("value").cast("string"), F.col("text"))))).alias("metrics")))

@@ -219,7 +219,11 @@ def _previous_alerts(spark: SparkSession, path: str, batch_id: int) -> DataFrame
     return last if last is not None else _latest_version(spark, path, before=batch_id)
 
 
-def make_batch_writer(tables: Tables):
+#: Micro-batches between two compactions.
+COMPACT_EVERY = 100
+
+
+def make_batch_writer(tables: Tables, compact_every: int = COMPACT_EVERY):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -237,13 +241,16 @@ def make_batch_writer(tables: Tables):
             pool = anoms if prev is None else prev.unionByName(anoms)
             latest = pool.orderBy(F.desc("timestamp"), F.desc("log_id")).limit(ALERTS_KEPT)
             _write_partition(latest, tables.alerts, batch_id)
+            if batch_id and batch_id % compact_every == 0:
+                compact(spark, tables.root, batch_id)
+                retire(spark, tables.root, batch_id)
         finally:
             b.unpersist()
     return write
 
 
 def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, delay: str = DEFAULT_DELAY,
-          trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False):
+          trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False, compact_every: int = COMPACT_EVERY):
     """Start the job; returns the StreamingQuery (K9: 10 s micro-batches by default).
 
     Dedup state lives in the RocksDB state store (off-heap, spills to local
@@ -253,7 +260,7 @@ def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, d
     if not spark.conf.get(key, None):
         spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = dedup_stream(clean_stream(ingest(raw)), delay)
-    w = (stream.writeStream.foreachBatch(make_batch_writer(Tables(out_root)))
+    w = (stream.writeStream.foreachBatch(make_batch_writer(Tables(out_root), compact_every))
          .option("checkpointLocation", checkpoint).outputMode("append"))
     # records that the job does not take are kept, with the reason, by a query of their own
     bad = (quarantined(raw).writeStream.format("parquet").outputMode("append")
@@ -293,39 +300,61 @@ def _fold_hourly(p: DataFrame) -> DataFrame:
     return p.groupBy("hour", "server_id").agg(F.sum("log_count").alias("log_count"), F.sum("errors").alias("errors"))
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop file system and path of a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _numbers(spark: SparkSession, path: str, column: str, finished: bool = False) -> list[int]:
+    """Numbers N of the sub-folders ``column=N``; only those written to their end with ``finished``."""
+    fs, root = _folder(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    out = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}=")]
+    return sorted(n for n in out if not finished or fs.exists(_folder(spark, f"{path}/{column}={n}/_SUCCESS")[1]))
+
+
 def _base_and_partials(spark: SparkSession, partials_path: str, upto: int | None = None) -> DataFrame:
-    """Latest compacted base (if any) plus the partials written after it."""
+    """Latest finished base (before ``upto`` if given) and the partials written after it (up to ``upto``)."""
     base_path = partials_path + "_base"
-    base, mx = None, None
-    b = _read_if_there(spark, base_path)
-    if b is not None:
-        if mx is not None and (upto is None or mx <= upto):
-            base = b.where(F.col("upto_batch") == mx).drop("upto_batch")
-        elif mx is not None:
-            ok = b.where(F.col("upto_batch") <= upto).agg(F.max("upto_batch")).first()[0]
-            if ok is not None:
-                base, mx = b.where(F.col("upto_batch") == ok).drop("upto_batch"), ok
-            else:
-                mx = None
+    done = [n for n in _numbers(spark, base_path, "upto_batch", finished=True) if upto is None or n < upto]
     p = spark.read.parquet(partials_path)
-    if mx is not None:
-        p = p.where(F.col("batch_id") > mx)
     if upto is not None:
         p = p.where(F.col("batch_id") <= upto)
-    p = p.drop("batch_id")
-    return p if base is None else base.unionByName(p)
+    if not done:
+        return p.drop("batch_id")
+    p = p.where(F.col("batch_id") > done[-1]).drop("batch_id")
+    return spark.read.parquet(f"{base_path}/upto_batch={done[-1]}").unionByName(p)
 
 
 def compact(spark: SparkSession, out_root: str, upto_batch: int) -> None:
-    """Fold status and hourly partials up to ``upto_batch`` into versioned base
-    tables (partition ``upto_batch``), so readers touch one base plus the
-    newer partials.  Re-running with the same bound rewrites the same
-    partition: idempotent.  Older partitions can then be dropped by retention."""
+    """Fold status and hourly partials up to ``upto_batch`` into a new base table each
+    (folder ``upto_batch``), so that readers touch one base and the newer partials.
+    It starts from an earlier base, so running it again gives the same folder."""
     t = Tables(out_root)
     for path, fold in ((t.status, _fold_status), (t.hourly, _fold_hourly)):
-        folded = fold(_base_and_partials(spark, path, upto_batch))
-        (folded.withColumn("upto_batch", F.lit(upto_batch).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("upto_batch").parquet(path + "_base"))
+        fold(_base_and_partials(spark, path, upto_batch)).write.mode("overwrite").parquet(
+            f"{path}_base/upto_batch={upto_batch}")
+
+
+def retire(spark: SparkSession, out_root: str, upto_batch: int) -> None:
+    """Delete what the base before ``upto_batch`` covers: its partials, older bases and older alert versions.
+
+    That base and all later partials stay, for readers that have just opened them and for a replay of the batch."""
+    t = Tables(out_root)
+    for path in (t.status, t.hourly):
+        before = [n for n in _numbers(spark, f"{path}_base", "upto_batch", finished=True) if n < upto_batch]
+        if not before:
+            continue
+        old = [f"{path}/batch_id={n}" for n in _numbers(spark, path, "batch_id") if n <= before[-1]]
+        old += [f"{path}_base/upto_batch={n}" for n in before[:-1]]
+        if path == t.status:
+            old += [f"{t.alerts}/batch_id={n}" for n in _numbers(spark, t.alerts, "batch_id") if n < before[-1]]
+        for x in old:
+            fs, p = _folder(spark, x)
+            fs.delete(p, True)
 
 
 def read_status(spark: SparkSession, out_root: str, cpu_scale: float = 100.0) -> DataFrame:
@@ -347,7 +376,7 @@ def read_alerts(spark: SparkSession, out_root: str) -> DataFrame:
 
 
 def health(spark: SparkSession, out_root: str, query=None) -> DataFrame:
-    """Pipeline health from the result tables plus the last progress."""
+    """Pipeline health from the result tables plus the last progress; active once there is an anomaly or a server."""
     a = read_anomalies(spark, out_root).agg(F.count(F.lit(1)).alias("anomalies_count"))
     s = read_status(spark, out_root).agg(F.count(F.lit(1)).alias("servers_count"),
                                          F.max("last_update").cast("timestamp_ntz").alias("last_update"))
@@ -355,4 +384,5 @@ def health(spark: SparkSession, out_root: str, query=None) -> DataFrame:
     rows_per_s = float(prog.get("processedRowsPerSecond") or 0.0) if prog else None
     n_anoms = a.first()["anomalies_count"]
     return s.select(F.lit(n_anoms).cast("long").alias("anomalies_count"), "servers_count", "last_update",
+                    ((F.col("servers_count") > 0) | F.lit(n_anoms > 0)).alias("active"),
                     F.lit(rows_per_s).cast("double").alias("processed_rows_per_second"))

@@ -60,3 +60,22 @@ def test_small_scale_queries_run(spark):
     qs = E.queries()
     for name in ("missing_stats", "clean_logs", "hourly_metrics", "system_labels", "audit_status"):
         assert qs[name](spark, SF0001).count() >= 0
+
+
+def test_kpi_fallbacks(spark):
+    from logsift.operators import dashboards as DB
+    empty = spark.createDataFrame([], "server_id string, anomaly_count long")
+    stats = spark.createDataFrame([(70, 5, 3)], "total_logs long, total_anomalies long, servers_monitored long")
+    assert tuple(DB.kpis_or_estimates(empty, None, stats).first()) == (70, 5, 3, 0.0)
+    assert tuple(DB.kpis_or_estimates(empty).first()) == (0, 0, 10, 0.0)
+    errs = spark.createDataFrame([("a", 4, 8)], "server_id string, anomaly_count long, error_count long")
+    assert tuple(DB.kpis_or_estimates(errs).first()) == (40, 4, 1, 20.0)
+    full = spark.createDataFrame([("a", 50, 4, 5)], "server_id string, total_logs long, anomaly_count long, error_count long")
+    assert tuple(DB.kpis_or_estimates(full).first()) == (50, 4, 1, 10.0)
+
+
+def test_sample_is_exact_when_keys_repeat(spark):
+    from logsift.operators.label import sample_n
+    df = spark.range(0, 3000).selectExpr("id % 7 as k", "id")
+    assert sample_n(df, 100, "k").count() == 100
+    assert sample_n(df, 5000, "k").count() == 3000

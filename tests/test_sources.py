@@ -89,3 +89,22 @@ def test_plan_time_helpers(spark):
     s = spark.createDataFrame([("12.5",), ("abc",), (None,)], "v string")
     assert [r[0] for r in s.select(R.nonconforming("v", "float")).collect()] == [False, True, False]
     assert R.filter_eq(df, "a", "All").count() == 1 and R.filter_eq(df, "a", 2).count() == 0
+
+
+def test_shapes_are_found_without_a_hint(spark):
+    d = tempfile.mkdtemp(prefix="logsift-shapes-")
+    rec = {"timestamp": "t", "server_id": "s", "severity": "high"}
+    for name, doc, n in (("anomalies.json", {"anomalies": [rec] * 3}, 3), ("alerts.json", {"alerts": [rec] * 2}, 2),
+                         ("none.json", {"alerts": []}, 0), ("array.json", [rec] * 4, 4), ("object.json", rec, 1)):
+        got = IO.read_or_empty(spark, _write(d, name, doc), ANOM).collect()
+        assert len(got) == n and all(tuple(r) == ("t", "s", "high") for r in got), name
+    with open(os.path.join(d, "bad.json"), "w") as f:
+        f.write("{broken")
+    with pytest.raises(Exception):
+        IO.read_or_empty(spark, os.path.join(d, "bad.json"), ANOM).collect()
+
+
+def test_absent_parquet_is_no_csv(spark):
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        IO.read_table(spark, "/nonexistent/logsift/t.parquet")

@@ -60,3 +60,28 @@ def test_null_server_is_no_grand_total(spark):
     assert got == {None: 1, "a": 1, "all": 2}
     st = spark.createDataFrame([("healthy", None), ("healthy", "a")], "status string, server_id string")
     assert sorted(map(str, map(tuple, DB.status_hierarchy(st).collect()))) == sorted(map(str, [("healthy", "", 2), (None, "healthy", 1), ("a", "healthy", 1)]))
+
+
+def _batch(spark, i):
+    rows = [(100 * i + j, f"2024-01-01 {i % 24:02d}:00:{j:02d}", f"server-{j % 3}", "ERROR" if j % 5 == 0 else "INFO", f"m{j}", float(j), 1.0,
+             int(j % 5 == 0), "normal") for j in range(20)]
+    return spark.createDataFrame(rows, "log_id long, timestamp string, server_id string, log_level string, message string, "
+                                       "cpu_usage_percent double, memory_usage_mb double, is_anomaly long, anomaly_type string"
+                                 ).withColumn("timestamp", F.to_timestamp("timestamp")).coalesce(1)
+
+
+def test_compaction_and_retention_bound_the_tables(spark):
+    root = tempfile.mkdtemp(prefix="logsift-compact-")
+    write = P.make_batch_writer(P.Tables(root), compact_every=2)
+    for i in range(9):
+        write(_batch(spark, i), i)
+    write(_batch(spark, 8), 8)  # a replay changes nothing
+    # batches after the base before the last one (6) and the last two bases are left
+    assert P._numbers(spark, P.Tables(root).status, "batch_id") == [7, 8]
+    assert P._numbers(spark, P.Tables(root).hourly + "_base", "upto_batch") == [6, 8]
+    assert P._numbers(spark, P.Tables(root).alerts, "batch_id") == [6, 7, 8]
+    assert sum(r["total_logs"] for r in P.read_status(spark, root).collect()) == 9 * 20
+    hourly = P.read_hourly(spark, root).where("server_id = 'all'").collect()
+    assert len(hourly) == 9 and all(r["log_count"] == 20 and r["error_rate"] == 0.2 for r in hourly)
+    assert P.read_alerts(spark, root).count() == 9 * 4
+    assert P.health(spark, root).first()["active"]
