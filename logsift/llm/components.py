@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from logsift.llm.common import checkpoint
+from logsift.llm.common import RUNS, checkpoint, spread_join
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -12,7 +12,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round a node hooks itself and its parent to the smallest grandparent
     among its neighbours and jumps to its own grandparent, so that paths halve:
-    the rounds grow with the logarithm of the longest path.  Only aggregates of
+    the rounds grow with the logarithm of the longest path.  A root that many nodes
+    share is met salted, so that no task gets all its children.  Only aggregates of
     (node, parent) rows are kept; each round is cut by a reliable checkpoint.
     """
     both = checkpoint(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -20,7 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                     .agg(F.least(F.first("a"), F.min("b")).alias("parent")))
     while True:
         over = up.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-        grand = checkpoint(up.join(over, "parent").select("node", "parent", "grand"))
+        salted = up.withColumn("_run", F.pmod(F.xxhash64("node"), F.lit(RUNS)).cast("int"))
+        grand = checkpoint(spread_join(salted, over, ["parent"]).select("node", "parent", "grand"))
         near = (both.join(grand.select(F.col("node").alias("b"), "grand"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("grand").alias("low")))
         seen = grand.join(near, "node")
