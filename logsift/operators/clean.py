@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.contracts import (CRITICAL_FIELDS, DUPLICATE_KEYS, DUPLICATE_WINDOW_SECONDS, K8S_LOG,
-                               MAX_MESSAGE_LENGTH, MAX_MISSING_PCT, OUTLIER_FIELDS, OUTLIER_K_CLEANING,
+                               MAX_MISSING_PCT, OUTLIER_FIELDS, OUTLIER_K_CLEANING,
                                Contract)
 from logsift.functions import outlier as O
-from logsift.functions.text import changed, standardise_text
+from logsift.functions.text import changed, standardise_text, truncate
 from logsift.functions.time import parse_ts
 from logsift.operators.dedup import drop_duplicates
 from logsift.operators.quantiles import quantile_values
@@ -274,8 +274,11 @@ class CleanResult:
 def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mode: str = "threshold",
           text_fields: Sequence[str] = ("message",), dedup_keys: Sequence[str] = DUPLICATE_KEYS,
           dedup_seconds: int = DUPLICATE_WINDOW_SECONDS, outlier_fields: Sequence[str] = OUTLIER_FIELDS,
-          max_length: int = MAX_MESSAGE_LENGTH, validate_output: bool = True) -> CleanResult:
-    """missing -> timestamps -> text -> duplicates -> outliers -> order -> validate."""
+          max_length: int | None = None, validate_output: bool = True) -> CleanResult:
+    """missing -> timestamps -> text -> duplicates -> outliers -> order -> validate.
+
+    Whole texts by default; ``max_length`` asks for the cut (H4), and the summary then
+    counts the values that it shortened (``text_cut``)."""
     from logsift.operators.validate import validate
     spark = df.sparkSession
     plan = plan_missing(df, contract, mode=missing_mode)
@@ -285,15 +288,20 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     # text (H5)
     tf = [f for f in text_fields if f in df.columns]
     step3 = step2.withColumns({f"_old_{f}": F.col(f) for f in tf}) \
-        .withColumns({f: standardise_text(F.col(f), max_length) for f in tf})
+        .withColumns({f: standardise_text(F.col(f)) for f in tf})
+    if max_length is not None:
+        step3 = step3.withColumns({f"_cut_{f}": F.length(f) > max_length for f in tf}) \
+            .withColumns({f: F.trim(truncate(f, max_length)) for f in tf})
     cached3 = step3.persist(StorageLevel.MEMORY_AND_DISK)
     step3 = cached3
     c_aggs = [F.count(F.lit(1)).alias("rows")]
     if "timestamp" in df.columns:
         c_aggs += [F.count("timestamp").alias("ts_valid")]
     c_aggs += [F.count_if(changed(F.col(f"_old_{f}"), F.col(f))).alias(f"chg_{f}") for f in tf]
+    if max_length is not None:
+        c_aggs += [F.count_if(f"_cut_{f}").alias(f"cut_{f}") for f in tf]
     c3 = step3.agg(*c_aggs).first()
-    step3 = step3.drop(*[f"_old_{f}" for f in tf])
+    step3 = step3.drop(*[f"{p}_{f}" for f in tf for p in ("_old", "_cut")])
     # duplicates
     keys = [k for k in dedup_keys if k in df.columns]
     step4 = drop_duplicates(step3, keys, pos_col, "timestamp", dedup_seconds) if keys else step3
@@ -327,5 +335,7 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
         ("final_rows", int(n4)),
         ("rows_removed", int(plan.rows_in - n4)),
     ]
+    if max_length is not None:
+        summary.append(("text_cut", int(sum(c3[f"cut_{f}"] for f in tf))))
     summary_df = spark.createDataFrame(summary, "metric string, value long")
     return CleanResult(step6, log_df, summary_df, errors)

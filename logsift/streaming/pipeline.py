@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsift.functions.rules import classify_status, severity_of_level
-from logsift.contracts import MAX_MESSAGE_LENGTH
 from logsift.functions.text import standardise_text
 from logsift.functions.time import floor_time, parse_ts
 from logsift.operators.dashboards import ERROR_LEVELS
@@ -102,11 +101,11 @@ def ingest(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
 # --- K3, K4 ------------------------------------------------------------------------------
 
 def clean_stream(df: DataFrame) -> DataFrame:
-    """Stateless cleaning shared with batch: timestamp parse, text standardisation (K3)."""
+    """Stateless cleaning shared with batch: timestamp parse, standardisation of whole texts (K3)."""
     return (df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
             .withColumn("timestamp", parse_ts("timestamp"))
             .where(F.col("timestamp").isNotNull())
-            .withColumn("message", standardise_text("message", MAX_MESSAGE_LENGTH)))
+            .withColumn("message", standardise_text("message")))
 
 
 def quarantined(raw: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:

@@ -72,6 +72,18 @@ def test_text_variant(spark):
     assert "Pod started" in msgs
 
 
+def test_long_messages_stay_whole_and_apart(spark):
+    rows = [list(LOGS_SMALL[0]) for _ in range(2)]
+    rows[0][2], rows[1][2] = "x" * 12000 + " one", "x" * 12000 + " two"
+    df = logs_small(spark, [tuple(x) for x in rows])
+    r = C.clean(df, "log_id", K8S_LOG)
+    assert {x["message"] for x in r.data.collect()} == {rows[0][2], rows[1][2]}
+    # the cut is an option, and counted
+    r = C.clean(df, "log_id", K8S_LOG, max_length=10000)
+    assert [x["message"] for x in r.data.collect()] == ["x" * 10000]
+    assert {x["metric"]: x["value"] for x in r.summary.collect()}["text_cut"] == 2
+
+
 def test_time_formats(spark):
     rows = [list(r) for r in LOGS_SMALL[:2]]
     rows[0][0] = "2024-01-01T12:00:00"

@@ -53,6 +53,12 @@ def test_bad_records_are_quarantined_and_counted(spark):
     assert sum(r["total_logs"] for r in P.read_status(spark, f"{root}/out").collect()) == len(good)
 
 
+def test_long_messages_stay_whole_in_the_stream(spark):
+    texts = ["x" * 12000 + end for end in (" one", " two")]
+    raw = spark.createDataFrame([('{"log_id": 1, "timestamp": "2024-01-01T00:00:00Z", "message": "%s"}' % t,) for t in texts], "value string")
+    assert sorted(r["message"] for r in P.clean_stream(P.ingest(raw)).collect()) == texts
+
+
 def test_null_server_is_no_grand_total(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00", None, "INFO"), ("2024-01-01 00:10:00", "a", "ERROR")],
                                "timestamp string, server_id string, log_level string").withColumn("timestamp", F.to_timestamp("timestamp"))
