@@ -11,7 +11,7 @@ replaying a batch after a failure rewrites the same partition: idempotent.
 Status and hourly tables hold additive partial aggregates per batch (counts,
 sums, maxima) that readers fold with one aggregate; after deduplication every
 row reaches exactly one batch, so the fold is exact.  Late rows (older than
-the watermark) are dropped by Spark and counted in the query progress.
+the watermark) are dropped by Spark and counted by batch in a table of their own.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from logsift.functions.rules import classify_status, severity_of_level
 from logsift.functions.text import standardise_text
@@ -143,6 +144,10 @@ class Tables:
     def quarantine(self):
         return f"{self.root}/quarantine"
 
+    @property
+    def late(self):
+        return f"{self.root}/late_rows"
+
     @property
     def anomalies(self):
         return f"{self.root}/anomalies"
@@ -267,6 +272,7 @@ def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, d
     when = {"availableNow": True} if available_now else {"processingTime": trigger}
     query = w.trigger(**when).start()
     query.quarantine = bad.trigger(**when).start()
+    count_late(spark, query, out_root)
     return query
 
 
@@ -276,9 +282,64 @@ def read_quarantine(spark: SparkSession, out_root: str) -> DataFrame:
     return df if df is not None else spark.createDataFrame([], "value string, reason string")
 
 
-def dropped_late_rows(query) -> int:
-    """Rows that the watermark has dropped so far, by the query's progress reports."""
-    return sum(int(op.get("numRowsDroppedByWatermark") or 0) for p in query.recentProgress for op in p.get("stateOperators", []))
+def _late_of(progress) -> int:
+    return sum(int(op.get("numRowsDroppedByWatermark") or 0) for op in progress.get("stateOperators", []))
+
+
+class LateRows(StreamingQueryListener):
+    """Writes one small file ``batch_id=<id>`` for each micro-batch of the query whose watermark dropped rows."""
+
+    def __init__(self, spark: SparkSession, query_id: str, path: str):
+        self.spark, self.query_id, self.path = spark, query_id, path
+
+    def record(self, batch_id: int, rows: int) -> None:
+        if rows:
+            fs, p = _folder(self.spark, f"{self.path}/batch_id={batch_id}/rows.txt")
+            out = fs.create(p, True)
+            try:
+                out.write(bytearray(str(rows).encode()))
+            finally:
+                out.close()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if str(p.id) == self.query_id:
+            self.record(p.batchId, sum(op.numRowsDroppedByWatermark for op in p.stateOperators))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.spark.streams.removeListener(self)
+
+
+def count_late(spark: SparkSession, query, out_root: str) -> None:
+    """Keep the query's dropped late rows by batch under ``out_root`` from now on.
+
+    A batch counts once its progress is reported, after its commit: a driver that is
+    lost between the two loses that batch's count."""
+    listener = LateRows(spark, str(query.id), Tables(out_root).late)
+    spark.streams.addListener(listener)
+    # batches that ended before the listener was there
+    for p in query.recentProgress:
+        listener.record(p["batchId"], _late_of(p))
+
+
+def dropped_late_rows(spark: SparkSession, out_root: str, query=None) -> int:
+    """Rows that the watermark has dropped over all batches and restarts of the job.
+
+    Reports reach the files a moment after their batch; with ``query``, its newest reports are counted at once."""
+    recent = {p["batchId"]: _late_of(p) for p in query.recentProgress} if query is not None else {}
+    recent = {n: k for n, k in recent.items() if k}
+    path = Tables(out_root).late
+    if not _numbers(spark, path, "batch_id"):
+        return sum(recent.values())
+    kept = spark.read.schema("value string, batch_id long").text(path)
+    return sum(recent.values()) + int(kept.where(~F.col("batch_id").isin(list(recent))).agg(F.sum(F.col("value").cast("long"))).first()[0] or 0)
 
 
 # --- readers of the result tables -------------------------------------------------------

@@ -1,6 +1,8 @@
 """Streaming job = batch answer on the smallest scale; sinks and readers."""
 
+import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 
@@ -59,6 +61,35 @@ def test_long_messages_stay_whole_in_the_stream(spark):
     assert sorted(r["message"] for r in P.clean_stream(P.ingest(raw)).collect()) == texts
 
 
+def test_late_rows_are_counted_over_more_batches_than_the_progress_keeps(spark):
+    root = tempfile.mkdtemp(prefix="logsift-late-")
+    line = '{"log_id": %d, "timestamp": "%s", "server_id": "s", "message": "m%d"}'
+    times = ["2024-01-01T12:00:00Z", "2024-01-01T13:00:00Z", "2024-01-01T01:00:00Z"] + ["2024-01-01T13:%02d:%02dZ" % divmod(i, 60) for i in range(9)]
+    os.makedirs(f"{root}/src")
+    for i, t in enumerate(times):
+        with open(f"{root}/src/{i:04d}.txt", "w") as f:
+            f.write(line % (i, t, i))
+        os.utime(f"{root}/src/{i:04d}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = P.dedup_stream(P.clean_stream(P.ingest(P.read_source(spark, f"{root}/src", max_files_per_trigger=1))).coalesce(1))
+    kept = "spark.sql.streaming.numRecentProgressUpdates"  # 100 by default
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    spark.conf.set(kept, "5")
+    try:
+        q = stream.writeStream.format("noop").option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start()
+        P.count_late(spark, q, f"{root}/out")
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        spark.conf.unset(kept)
+    assert len(q.recentProgress) <= 5 and sum(P._late_of(p) for p in q.recentProgress) == 0
+    for _ in range(50):  # reports reach the listener a moment later
+        if P.dropped_late_rows(spark, f"{root}/out"):
+            break
+        time.sleep(0.1)
+    assert P.dropped_late_rows(spark, f"{root}/out", q) == P.dropped_late_rows(spark, f"{root}/out") == 1
+
+
 def test_null_server_is_no_grand_total(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00", None, "INFO"), ("2024-01-01 00:10:00", "a", "ERROR")],
                                "timestamp string, server_id string, log_level string").withColumn("timestamp", F.to_timestamp("timestamp"))
