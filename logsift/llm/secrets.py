@@ -21,11 +21,13 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # runs are maximal, so the bound can stand in the pattern
 ASSIGN_VALUE, ACCESS_CHARS = 6, 20
 
-#: A candidate of the models: a run of token characters with a letter and a digit.
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: A candidate of the models: a run of token characters, from the length that training labels as secret.
+MIN_RUN = 16
+RUN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
-#: Evidence asked for, in nats over the whole run.
+#: Evidence asked for, in nats over the whole run, if there are fewer than LEAST held-out strings of a class to calibrate it.
 MIN_RATIO = 10.0
+LEAST = 20
 #: About so many documents give the ordinary and random strings for training.
 SAMPLE_ROWS = 5000
 KINDS = ["assign", "access", "hex", "markov"]
@@ -64,7 +66,7 @@ def base_spans(text: Column) -> Column:
 def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
     """Labelled strings (``s``, ``random``) from about ``rows`` documents, chosen by the ids' hash.
 
-    Random: values that the fixed patterns find, of 16 characters or more.
+    Random: values that the fixed patterns find, of MIN_RUN characters or more.
     Ordinary: words of 4 letters, digits or marks or more in the texts around them.
     """
     src = texts(docs, id_col, text_col)
@@ -73,7 +75,7 @@ def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = src.select(F.explode(base_spans(F.col("text"))).alias("x")).select(F.col("x.value").alias("s"), F.lit(True).alias("random"))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     words = src.select(F.explode(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("s"), F.lit(False).alias("random"))
-    return found.where(F.length("s") >= 16).union(words)
+    return found.where(F.length("s") >= MIN_RUN).union(words)
 
 
 def ratio_table(strings: DataFrame) -> list[float]:
@@ -118,22 +120,52 @@ def secret_spans(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", t
     """
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     src = texts(docs, id_col, text_col).withColumn("base", base_spans(F.col("text")))
-    runs = F.filter(matches(F.col("text"), RUN, "markov"), lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]"))
-    src = src.withColumn("runs", runs)
+    src = src.withColumn("runs", matches(F.col("text"), RUN, "markov"))
     added = F.filter("runs", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
                      & (likelihood_ratio(c["value"], table) >= min_ratio))
     return src.select("doc_id", "base", F.when(F.size("runs") > 0, added).otherwise(F.col("runs")).alias("added"))
 
 
+def calibrated_ratio(strings: DataFrame, ratios: list[float]) -> float:
+    """The evidence, in tenths of nats, that best parts random from ordinary strings of MIN_RUN characters or more:
+    the greatest share of random ones at or above it less the share of ordinary ones; of several, the middle one."""
+    table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
+    long = strings.where(F.col("random").isNotNull() & (F.length("s") >= MIN_RUN)).dropDuplicates(["s", "random"])
+    tenths = F.greatest(F.lit(-1000), F.least(F.lit(1000), F.floor(likelihood_ratio(F.col("s"), table) * 10))).cast("int")
+    counts = {(r["v"], r["random"]): r["n"] for r in long.groupBy(tenths.alias("v"), "random").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 2 x 2,001
+    total = {y: sum(n for (_, r), n in counts.items() if r == y) for y in (True, False)}
+    if min(total.values()) < LEAST:
+        return MIN_RATIO
+    gap, best, at = 0.0, 0.0, []
+    for v in range(1000, -1001, -1):
+        gap += counts.get((v, True), 0) / total[True] - counts.get((v, False), 0) / total[False]
+        if gap > best + 1e-12:
+            best, at = gap, [v]
+        elif at and gap > best - 1e-12:
+            at.append(v)
+    return at[len(at) // 2] / 10 if at else MIN_RATIO
+
+
+def fit(strings: DataFrame) -> tuple[list[float], float]:
+    """Ratio table of all strings, and the evidence asked for, from one half of them (by hash) under the other half's table."""
+    strings = strings.persist()  # a bounded sample, read several times
+    held = F.pmod(F.xxhash64("s"), F.lit(2)) == 0
+    least = calibrated_ratio(strings.where(held), ratio_table(strings.where(~held)))
+    ratios = ratio_table(strings)
+    strings.unpersist()
+    return ratios, least
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
 def secret_scan(docs: DataFrame, ratios: list[float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans (all of them, by start, then kind), one row per input row."""
+    min_ratio = MIN_RATIO
     if ratios is None:
-        ratios = ratio_table(training_strings(docs, id_col, text_col))
-    found = secret_spans(docs, ratios, id_col, text_col)
+        ratios, min_ratio = fit(training_strings(docs, id_col, text_col))
+    found = secret_spans(docs, ratios, id_col, text_col, min_ratio)
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select("doc_id", *[count(k) for k in KINDS[:3]], F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
                         joined(F.sort_array(F.concat("base", "added"))).alias("spans"))

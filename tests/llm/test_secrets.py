@@ -3,7 +3,7 @@ import random
 import re
 import string
 
-from logsift.llm.secrets import ratio_table, secret_scan, training_strings
+from logsift.llm.secrets import fit, ratio_table, secret_scan, secret_spans, training_strings
 
 SCHEMA = "doc_id long, text string, base string, runs int, value string"
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -50,5 +50,23 @@ def test_models_find_random_runs_and_leave_words(spark):
     assert sum(got[i] == "markov:4:36" for i in range(40)) >= 38 and all(got[100 + i] == "" for i in range(5))
 
 
+def test_short_keys_and_keys_of_letters_are_scored(spark):
+    rng = random.Random(5)
+    rand = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    both, letters = string.ascii_letters + string.digits, string.ascii_letters
+    words = ["ordinary", "identifier", "internationalisation", "user_name_field", "page-number-12", "keitheitenverpflichtung", "responsibilities"]
+    long = ["-".join(rng.choice(words) for _ in range(3)) for _ in range(300)]
+    strings = spark.createDataFrame([(rand(rng.randint(16, 32), both), True) for _ in range(1000)]
+                                    + [(w, False) for w in (words + long) * 3], "s string, random boolean")
+    ratios, least = fit(strings)
+    probe = ([(i, f"see {rand(16, both)} here", "b", 1, "v") for i in range(40)]
+             + [(100 + i, f"see {rand(24, letters)} here", "b", 1, "v") for i in range(40)]
+             + [(200, "see internationalisation and keitheitenverpflichtung-responsibilities", "b", 1, "v")])
+    got = {r.doc_id: [(x.start, x.end) for x in r.added] for r in secret_spans(spark.createDataFrame(probe, SCHEMA), ratios, min_ratio=least).collect()}
+    assert sum(got[i] == [(4, 20)] for i in range(40)) >= 38
+    assert sum(got[100 + i] == [(4, 28)] for i in range(40)) >= 38
+    assert got[200] == []
+
+
 def test_empty(spark):
     assert secret_scan(spark.createDataFrame([], SCHEMA)).count() == 0
