@@ -25,8 +25,10 @@ WINDOW, STRIDE = 64, 32
 HIDDEN = 12
 #: Bounds of the training sample.
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_WINDOWS = 1500, 20_000, 3000
+#: The network's finds: mean confidence over the span, and the fewest digits of a span by kind
+#: (an address has at least 4; a span of an email needs an @ instead).
 SURE = 0.9
-MIN_DIGITS = 7
+MIN_DIGITS = {"ip": 4, "card": 7, "phone": 7}
 CLASSES = "0aA@.-_+%() \n,:/="  # a digit, letters, marks that matter; then other ASCII, other letters, the rest
 
 # The contract's patterns, as equal forms that take linear time: runs are taken whole and only where they begin.
@@ -243,6 +245,14 @@ def viterbi(em, trans):
     return tags
 
 
+def well_formed(kind: int, inside) -> bool:
+    """Whether a span of character classes can be of the kind: an @ in an email; enough digits
+    in the others, no space in front and a digit at the end."""
+    if KINDS[kind] == "email":
+        return bool((inside == 3).any())
+    return bool((inside == 0).sum() >= MIN_DIGITS[KINDS[kind]] and inside[0] != 11 and inside[-1] == 0)
+
+
 def network_spans(whole: list[str], model: PiiModel, at_once: int = 512) -> list[list[tuple[int, int, int]]]:
     """Spans (kind, start, end) of the network in each text, after all its windows are reconciled."""
     import numpy as np
@@ -282,9 +292,7 @@ def network_spans(whole: list[str], model: PiiModel, at_once: int = 512) -> list
             while b < len(tag) and kind[b] == kind[a] and tag[b] % 2 == 0:
                 b += 1
             inside = coded[n][a:b]
-            digits = int((inside == 0).sum())
-            enough = (inside == 3).any() if kind[a] == 0 else digits >= MIN_DIGITS and inside[0] != 11 and inside[-1] == 0
-            if enough and float(c[a:b].mean()) >= SURE:
+            if well_formed(int(kind[a]), inside) and float(c[a:b].mean()) >= SURE:
                 out[n].append((int(kind[a]), a, b))
     return out
 

@@ -68,6 +68,12 @@ def test_crf_gradient_by_differences():
         assert abs((up - down) / 2e-5 - grad[at]) < 1e-6
 
 
+def test_addresses_with_few_digits_can_be_spans():
+    ip, phone = pii.KINDS.index("ip"), pii.KINDS.index("phone")
+    assert all(pii.well_formed(ip, pii.classes(t)) for t in ("8 . 8 . 8 . 8", "10,0,0,1", "8.8.8.8"))
+    assert not pii.well_formed(ip, pii.classes("1.2.3")) and not pii.well_formed(phone, pii.classes("+49 12"))
+
+
 def test_network_learns_the_labelled_spans():
     rng = random.Random(11)
     say = lambda n: " ".join(rng.choice(["and", "the", "call", "see", "of", "to"]) for _ in range(n))
