@@ -21,18 +21,22 @@ EXTRA_PATTERNS: tuple[str, ...] = (
     "yyyy-MM-dd HH:mm:ssZ",
 )
 
+#: Text that begins with a year.
+DATE_FIRST = r"^\s*[+-]?\d{4}"
+
 
 def parse_ts(c, extra_patterns: tuple[str, ...] = EXTRA_PATTERNS) -> Column:
     """String -> TIMESTAMP (UTC session), null when nothing parses (H8, H9).
 
     The built-in parser covers all eight contract formats ('T' or space,
     optional fraction, 'Z' or an offset).  A TIMESTAMP input passes through.
+    A time of day without a date is no timestamp: it would take today's date.
     """
     x = _col(c)
     s = x.cast("string")
-    tries = [F.try_to_timestamp(s)]
+    tries = [x.try_cast("timestamp")]
     tries += [F.try_to_timestamp(s, F.lit(p)) for p in extra_patterns]
-    return F.coalesce(*tries)
+    return F.when(s.rlike(DATE_FIRST), F.coalesce(*tries))
 
 
 def iso_utc(c) -> Column:
@@ -62,14 +66,6 @@ def display_ts(c) -> Column:
     return F.coalesce(F.date_format(parse_ts(x), "yyyy-MM-dd HH:mm:ss"), x.cast("string"))
 
 
-def weekday_name(c) -> Column:
-    return F.date_format(_col(c), "EEEE")
-
-
-def hour_of(c) -> Column:
-    return F.hour(_col(c))
-
-
 def to_ntz(c) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ wall time in the (UTC) session zone."""
     return _col(c).cast("timestamp_ntz")

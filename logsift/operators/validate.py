@@ -149,9 +149,13 @@ def _field_error(r: FieldRule, c: Column, dtype: T.DataType) -> Column:
     return e if e is not None else F.lit(None).cast("string")
 
 
+def error_messages(df: DataFrame, contract: Contract = K8S_LOG) -> Column:
+    """Array of the first failing rule of each field of ``df`` that the contract names."""
+    return F.filter(F.array(*[_field_error(r, F.col(r.name), df.schema[r.name].dataType) for r in contract if r.name in df.columns]),
+                    lambda x: x.isNotNull())
+
+
 def row_errors(df: DataFrame, contract: Contract = K8S_LOG, pos_col: str = "log_id") -> DataFrame:
     """(pos, n_errors, errors) - per row, the first failing rule of each field."""
-    msgs = F.filter(F.array(*[_field_error(r, F.col(r.name), df.schema[r.name].dataType) for r in contract if r.name in df.columns]),
-                    lambda x: x.isNotNull())
-    return df.select(F.col(pos_col), msgs.alias("_m")).select(
+    return df.select(F.col(pos_col), error_messages(df, contract).alias("_m")).select(
         pos_col, F.size("_m").cast("long").alias("n_errors"), F.concat_ws("; ", "_m").alias("errors"))

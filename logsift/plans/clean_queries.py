@@ -270,7 +270,7 @@ def q_nfkd_text(spark, sf):
 # --- H8-H11, F1 --------------------------------------------------------------------
 
 def _render(ts, pos):
-    """The eight contract formats, picked by position (test-input derivation)."""
+    """The eight contract formats, picked by position, and a time of day without a date (test-input derivation)."""
     plus2 = ts + F.expr("INTERVAL 2 HOURS")
     fmts = [F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
             F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
@@ -281,13 +281,13 @@ def _render(ts, pos):
     out = None
     for i, f in enumerate(fmts):
         out = F.when(pos % 8 == i, f) if out is None else out.when(pos % 8 == i, f)
-    return out
+    return F.when(pos % 23 == 0, F.date_format(ts, "HH:mm:ss")).otherwise(out)
 
 
 @query("parse_timestamps", with_views("""
 SELECT log_id, raw, parsed, strftime(parsed, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FROM (
  SELECT log_id,
-  CASE log_id % 8
+  CASE WHEN log_id % 23 = 0 THEN strftime("timestamp", '%H:%M:%S') ELSE CASE log_id % 8
    WHEN 0 THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f')
    WHEN 1 THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S')
    WHEN 2 THEN strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f')
@@ -295,8 +295,8 @@ SELECT log_id, raw, parsed, strftime(parsed, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FRO
    WHEN 4 THEN strftime("timestamp" + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+02:00'
    WHEN 5 THEN strftime("timestamp" + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '+0200'
    WHEN 6 THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
-   ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || 'Z' END AS raw,
-  CASE WHEN log_id % 8 IN (0, 2, 4, 6) THEN "timestamp" ELSE date_trunc('second', "timestamp") END AS parsed
+   ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || 'Z' END END AS raw,
+  CASE WHEN log_id % 23 = 0 THEN NULL WHEN log_id % 8 IN (0, 2, 4, 6) THEN "timestamp" ELSE date_trunc('second', "timestamp") END AS parsed
  FROM logs) t""", "logs"))
 def q_parse_timestamps(spark, sf):
     """Text in the eight contract formats -> UTC TIMESTAMP -> ISO text."""
@@ -497,9 +497,12 @@ def q_validate_contract(spark, sf):
     return V.validate(logs(spark, sf), K8S_LOG, pos_col="log_id")
 
 
-def _row_errors_sql():
+def error_list_sql(present=None) -> str:
+    """The first failing rule of every contract field (of those ``present``) as a DuckDB list of messages."""
     per = []
     for r in K8S_LOG:
+        if present is not None and r.name not in present:
+            continue
         c = f'"{r.name}"'
         branches = [f"WHEN {c} IS NULL THEN 'Required field ''{r.name}'' is missing'"]
         if r.numeric:
@@ -517,9 +520,12 @@ def _row_errors_sql():
             branches.append(f"WHEN {c} NOT IN ({vals}) THEN 'Field ''{r.name}'' value ''' || CAST({c} AS VARCHAR) "
                             f"|| ''' is not in allowed values {lst.replace(chr(39), chr(39) * 2)}'")
         per.append("CASE " + " ".join(branches) + " END")
-    arr = "list_filter([" + ", ".join(per) + "], lambda x: x IS NOT NULL)"
+    return "list_filter([" + ", ".join(per) + "], lambda x: x IS NOT NULL)"
+
+
+def _row_errors_sql():
     return with_views(f"""SELECT log_id, CAST(len(m) AS BIGINT) AS n_errors, array_to_string(m, '; ') AS errors
-FROM (SELECT log_id, {arr} AS m FROM logs) t""", "logs")
+FROM (SELECT log_id, {error_list_sql()} AS m FROM logs) t""", "logs")
 
 
 @query("row_errors", _row_errors_sql())
