@@ -25,7 +25,7 @@ from logsift.session import scratch_path
 from logsift.streaming import pipeline as P
 
 #: Days of events in a micro-batch, and so many values are held before a sketch thins them.
-SLOT_DAYS, SKETCH_K = 8, 32768
+SLOT_DAYS, SKETCH_K = 15, 32768
 
 _RUNS: dict = {}
 
@@ -53,7 +53,7 @@ def run_stream(spark, sf: str) -> str:
     src, out, ck = f"{root}/source", f"{root}/out", f"{root}/checkpoint"
     P.publish_files(source_values(spark, sf), src, key="slot", order_col="log_id")
     raw = P.read_source(spark, src, max_files_per_trigger=1)
-    job = P.start(spark, raw, out, ck, available_now=True, sketch_k=SKETCH_K, max_files_per_trigger=1)
+    job = P.start(spark, raw, out, ck, available_now=True, sketch_k=SKETCH_K, files_per_batch=1)
     job.awaitTermination()
     if job.exception() is not None:
         raise RuntimeError(str(job.exception()))

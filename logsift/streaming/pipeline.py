@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -317,8 +319,10 @@ def _fold_profile(p: DataFrame, k: int) -> DataFrame:
     return p.agg(*[F.sum(c).alias(c) for c in COUNTS], *[F.kll_merge_agg_double(c, F.lit(k)).alias(c) for c in OUTLIER_FIELDS])
 
 
-def make_ingest_writer(tables: Tables, sketch_k: int = SKETCH_K, compact_every: int = COMPACT_EVERY):
-    """One write per micro-batch that routes all records and observes the counts and sketches; then the running profile."""
+def make_ingest_writer(tables: Tables, sketch_k: int = SKETCH_K, compact_every: int = COMPACT_EVERY, files_per_batch: int | None = None):
+    """One write per micro-batch that routes all records and observes the counts and sketches; then the running profile.
+
+    ``files_per_batch``: so many files of each route; else one for each task."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if _exists(spark, f"{tables.profile}/batch_id={batch_id}/_SUCCESS"):
@@ -327,7 +331,8 @@ def make_ingest_writer(tables: Tables, sketch_k: int = SKETCH_K, compact_every:
         # a replay leaves a route alone that is there: its readers may have taken its files
         there = [r for r in ("accepted", "quarantined") if _exists(spark, f"{tables.route(r)}/batch_id={batch_id}")]
         routed = batch.observe(seen, *_profile_metrics(sketch_k)).withColumn("route", F.when(F.col("reason").isNull(), "accepted").otherwise("quarantined"))
-        _write_partition(routed.where(~F.col("route").isin(there)), tables.records, batch_id, "route")
+        missing = routed.where(~F.col("route").isin(there))
+        _write_partition(missing.repartition(files_per_batch) if files_per_batch else missing, tables.records, batch_id, "route")
         got = seen.get
         kinds = ", ".join([f"{c} long" for c in COUNTS] + [f"{c} binary" for c in OUTLIER_FIELDS])
         now = spark.createDataFrame([tuple(got[c] if c in COUNTS else bytearray(got[c]) for c in (*COUNTS, *OUTLIER_FIELDS))], kinds)
@@ -409,13 +414,14 @@ def make_batch_writer(tables: Tables, compact_every: int = COMPACT_EVERY, packed
         b = spark.read.schema(rows.schema).parquet(path)  # the other tables come from the written rows
         bounds = {r["column_name"]: (r["lower"], r["upper"]) for r in read_profile(spark, tables.root).collect()
                   if r["n"] and r["q1"] < r["q3"]}  # one row per column
-        _write_partition(anomaly_rows(b, bounds), tables.anomalies, batch_id)
-        _write_partition(status_partials(b), tables.status, batch_id)
-        _write_partition(hourly_partials(b), tables.hourly, batch_id)
         found = anomaly_rows(b).where("by_rule").select(ALERT_COLUMNS)
         before = _latest(spark, tables.alerts, before=batch_id)
         pool = found if before is None else before.unionByName(found)
-        _write_partition(pool.orderBy(F.desc("timestamp"), F.desc("log_id")).limit(ALERTS_KEPT), tables.alerts, batch_id)
+        latest = pool.orderBy(F.desc("timestamp"), F.desc("log_id")).limit(ALERTS_KEPT)
+        writes = [(anomaly_rows(b, bounds), tables.anomalies), (status_partials(b), tables.status),
+                  (hourly_partials(b), tables.hourly), (latest, tables.alerts)]
+        with ThreadPoolExecutor(len(writes)) as pool_of_writers:  # small jobs over the same rows: side by side
+            list(pool_of_writers.map(inheritable_thread_target(spark)(lambda w: _write_partition(*w, batch_id)), writes))
         if batch_id and batch_id % compact_every == 0:
             compact(spark, tables.root, batch_id)
             retire(spark, tables.root, batch_id)
@@ -450,11 +456,12 @@ class Job:
 
 def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, delay: str = DEFAULT_DELAY,
           trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False, compact_every: int = COMPACT_EVERY,
-          sketch_k: int = SKETCH_K, max_files_per_trigger: int | None = None, keep_accepted: bool = True) -> Job:
+          sketch_k: int = SKETCH_K, files_per_batch: int | None = None, keep_accepted: bool = True) -> Job:
     """Start the job (K9: 10 s micro-batches by default).
 
-    With ``available_now`` ingest takes all there is before this returns, then results do. ``max_files_per_trigger``
-    bounds the accepted files of a result batch; without ``keep_accepted`` Spark deletes those that results have taken.
+    With ``available_now`` ingest takes all there is before this returns, then results do. With ``files_per_batch``
+    each micro-batch of ingest writes at most so many accepted files, and results take as many at a time.
+    Without ``keep_accepted`` Spark deletes the accepted files that results have taken.
 
     The groups still open live in the RocksDB state store (off-heap, spills to local
     disk, checkpointed incrementally) unless the session already names a
@@ -464,15 +471,15 @@ def start(spark: SparkSession, raw: DataFrame, out_root: str, checkpoint: str, d
         spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     tables = Tables(out_root)
     when = {"availableNow": True} if available_now else {"processingTime": trigger}
-    ingest = (decode(raw).writeStream.foreachBatch(make_ingest_writer(tables, sketch_k, compact_every))
+    ingest = (decode(raw).writeStream.foreachBatch(make_ingest_writer(tables, sketch_k, compact_every, files_per_batch))
               .option("checkpointLocation", f"{checkpoint}/ingest").trigger(**when).start())
     if available_now:
         ingest.awaitTermination()
     fs, p = _folder(spark, tables.route("accepted"))
     fs.mkdirs(p)
     r = spark.readStream.schema(ACCEPTED_SCHEMA)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
     if not keep_accepted:
         r = r.option("cleanSource", "delete")
     stream = dedup_stream(r.parquet(tables.route("accepted")).select(*ACCEPTED_SCHEMA.names), delay)

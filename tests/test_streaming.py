@@ -21,7 +21,7 @@ def published(spark, path, lines):
 def run_job(spark, root, lines, **how):
     published(spark, f"{root}/src", lines)
     job = P.start(spark, P.read_source(spark, f"{root}/src", max_files_per_trigger=1), f"{root}/out", f"{root}/ck",
-                  available_now=True, max_files_per_trigger=1, **how)
+                  available_now=True, files_per_batch=1, **how)
     job.awaitTermination()
     assert job.exception() is None
     return f"{root}/out"
