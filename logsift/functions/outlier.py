@@ -36,14 +36,3 @@ def clip(c, lo, hi) -> Column:
     """Null-preserving clip (greatest/least skip nulls, so guard)."""
     x = _col(c).cast("double")
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(F.least(x, _col(hi)), _col(lo)))
-
-
-def cap_iqr(c, q1, q3, k: float = 3.0) -> Column:
-    """Cap at the IQR bounds."""
-    lo, hi = iqr_bounds(q1, q3, k)
-    return clip(c, lo, hi)
-
-
-def winsorise(c, p01, p99) -> Column:
-    """Cap at the 1st/99th percentiles."""
-    return clip(c, p01, p99)

@@ -126,7 +126,7 @@ def plan_missing(df: DataFrame, contract: Contract = K8S_LOG, critical: Sequence
         strs = [f for f in fs if f not in nums]
         rows_here = sum(c for p, c in pats if not any(p[idx[d]] for d in drops))
         if nums:
-            med = quantile_values(sub, nums, [0.5], max_rows=rows_here)
+            med = quantile_values(sub, nums, [0.5])
             fills.update({f: med[f][0] for f in nums})
         if strs:
             fills.update(mode_values(sub, strs, default="unknown"))
@@ -159,7 +159,7 @@ def _plan_missing_sequential(df: DataFrame, contract: Contract, crit: Sequence[s
         if rule is not None and rule.nullable:
             sub = df.where(keep)
             if rule.numeric and isinstance(df.schema[f].dataType, NUMERIC):
-                fills[f] = quantile_values(sub, [f], [0.5], max_rows=alive_n)[f][0]
+                fills[f] = quantile_values(sub, [f], [0.5])[f][0]
                 action = "filled_with_median"
             elif rule.dtype == "string":
                 fills[f] = mode_values(sub, [f], default="unknown")[f]
@@ -187,9 +187,9 @@ def apply_missing(df: DataFrame, plan: MissingPlan) -> DataFrame:
 # --- I6, H16-H18: outliers ------------------------------------------------------
 
 def outlier_bounds(df: DataFrame, fields: Sequence[str], k: float = OUTLIER_K_CLEANING,
-                   guard: bool = True, max_rows: int | None = None) -> dict[str, dict]:
+                   guard: bool = True) -> dict[str, dict]:
     fields = [f for f in fields if f in df.columns and isinstance(df.schema[f].dataType, NUMERIC)]
-    qs = quantile_values(df, fields, [0.25, 0.75], max_rows=max_rows)
+    qs = quantile_values(df, fields, [0.25, 0.75])
     out = {}
     for f in fields:
         q1, q3 = qs[f]
@@ -207,12 +207,12 @@ def outlier_flags(bounds: dict[str, dict]) -> dict[str, Column]:
 
 
 def cap_outliers(df: DataFrame, fields: Sequence[str] = OUTLIER_FIELDS, k: float = OUTLIER_K_CLEANING,
-                 guard: bool = True, max_rows: int | None = None):
+                 guard: bool = True):
     """Cap numeric fields at their IQR bounds when they have outliers.
 
     Returns (frame, log rows [(field, count, pct, method)]); one count pass.
     """
-    bounds = outlier_bounds(df, fields, k, guard, max_rows)
+    bounds = outlier_bounds(df, fields, k, guard)
     flags = outlier_flags(bounds)
     if not flags:
         return df, []
@@ -313,7 +313,7 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     cached3.unpersist()
     n4 = step4.count()
     # outliers (I6)
-    step5, out_log = cap_outliers(step4, outlier_fields, max_rows=n4)
+    step5, out_log = cap_outliers(step4, outlier_fields)
     # order (F1)
     step6 = order_by_time(step5, "timestamp", pos_col) if "timestamp" in df.columns else step5
     errors = validate(step6, contract, pos_col=pos_col) if validate_output else None

@@ -1,367 +1,136 @@
-"""Exact quantiles (linear interpolation, like pandas / DuckDB quantile_cont).
-
-Default strategy ``sketch`` - no shuffle of the data at all:
-
-1. one aggregate pass per column: count, min, max and ``percentile_approx``
-   at p +- 3/accuracy.  Its rank error is at most N/accuracy, so the two
-   approximate values bracket the exact value at the wanted rank;
-2. scans that count values below each bracket and build an equi-width
-   histogram inside it (map-side partial aggregation, a few thousand rows
-   reach the driver), narrowing to the bucket that holds the rank until it
-   holds one value or at most ``FINAL_LIMIT`` rows, whose (value, count)
-   pairs are read.
-
-Other strategies (``method=`` or conf ``logsift.quantile.method``), picked
-by ``auto`` after one HyperLogLog pass:
-
-* ``map``  - Spark's exact ``percentile``.  It keeps a value->count map per
-  group and merges it in one task, so it is used only when the estimated
-  number of distinct values is below ``MAP_LIMIT`` (a checked bound).
-* ``rank`` - distributed rank selection.  Values are first collapsed to
-  (column, value, count) with a map-side combine (a value holding a third of
-  all rows becomes one row), then each wanted rank is located by equi-width
-  histograms over the value range, refined only inside the bucket that holds
-  the rank.  Each round is one scan of the collapsed table plus a tiny
-  (buckets x ranges) result; the last bucket is read only once it holds at
-  most ``FINAL_LIMIT`` distinct values.  Nothing unbounded reaches the driver.
+"""Exact quantiles (linear interpolation, like pandas / DuckDB quantile_cont) by radix selection.
+
+A double's 64-bit key keeps its order.  A round fixes 16 more bits of the key: one scan counts, for all
+columns together, the values under each open prefix by their next 16 bits, in hash aggregates with
+partial aggregation; the prefixes are literals, so nothing is joined.  The bucket that holds a
+wanted rank is the next open prefix, unless all its values are equal, which settles the rank.  So
+four scans are enough whatever the data, a value that holds a third of all rows is one bucket, and the
+driver gets one row for each column and rank.
 """
 
 from __future__ import annotations
 
 import math
-from typing import Iterable, Sequence
+import sys
+from collections.abc import Callable
+from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAP_LIMIT = 1_000_000
-FINAL_LIMIT = 50_000
-BUCKETS = 1024
-SKETCH_ACCURACY = 10_000      # percentile_approx accuracy: rank error <= N / accuracy
-
-
-def unpivot_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, v) long form of numeric columns, nulls and NaN dropped."""
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
-    return df.select(F.inline(arr)).where(F.col("v").isNotNull() & ~F.isnan("v"))
-
-
-def _method(spark: SparkSession, method: str | None) -> str:
-    if method:
-        return method
-    return spark.conf.get("logsift.quantile.method", "sketch")
-
+BITS = 16
+#: Parts of a double: bits of the fraction, bias and least exponent of normal numbers.
+FRACTION, BIAS, LEAST = 52, 1023, -1022
+
+
+def with_order_key(rows: DataFrame, x: str, key: str) -> DataFrame:
+    """``rows`` with a long that orders like the double ``x`` (its magnitude's bits, with its sign); null for null and NaN.
+
+    In steps of one projection each, so that nothing is computed twice.  The row number, which is never below
+    0, keeps filters on the key from being pushed into the steps: each would be copied into the next."""
+    size = F.col("_size")
+    exponent = F.floor(F.log2(F.least(size, F.lit(sys.float_info.max)))).cast("int")
+    rows = rows.withColumn("_size", F.when(~F.isnan(x), F.abs(x)))
+    rows = rows.withColumn("_e", F.least(F.greatest(exponent, F.lit(LEAST)), F.lit(BIAS)))
+    rows = rows.withColumn("_m", size / F.pow(F.lit(2.0), "_e"))
+    low, high = F.col("_m") < 1, F.col("_m") >= 2  # the logarithm may be off by one near a power of two
+    part = F.when(low, F.col("_m") * 2).when(high, F.col("_m") / 2).otherwise(F.col("_m"))
+    power = F.when(low, F.col("_e") - 1).when(high, F.col("_e") + 1).otherwise(F.col("_e"))
+    normal = (power + BIAS).cast("long") * (1 << FRACTION) + (part * float(1 << FRACTION)).cast("long") - (1 << FRACTION)
+    tiny = (size * 2.0 ** 537 * 2.0 ** 537).cast("long")
+    bits = (F.when(size == float("inf"), F.lit((2 * BIAS + 1) << FRACTION).cast("long"))
+            .when(size < 2.0 ** LEAST, tiny).otherwise(normal))
+    rows = rows.withColumn("_bits", F.when(size.isNotNull(), bits))
+    signed = F.when(F.col(x) < 0, -F.col("_bits")).otherwise(F.col("_bits"))
+    return rows.withColumn(key, F.when(F.monotonically_increasing_id() >= 0, signed)).drop("_size", "_e", "_m", "_bits")
+
+
+def _round(df: DataFrame, cols: list[str], done: int, open_: dict[int, list[int]], ranks: Callable[[Column], Column]) -> list:
+    """One scan: per column and open prefix the buckets of the next bits that hold a wanted rank.
+
+    ``open_``: prefixes by column; ``done``: rounds before; ``ranks``: the wanted ranks under a prefix."""
+    shift = 64 - BITS * (done + 1)
+    own = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols) if not done or i in open_]
+    rows = with_order_key(df.select(F.inline(F.array(*own))).where(F.col("x").isNotNull()), "x", "k").where(F.col("k").isNotNull())
+    if done:
+        inside = F.lit(False)
+        for i, prefixes in open_.items():
+            inside = inside | ((F.col("c") == i) & F.shiftright("k", shift + BITS).isin(prefixes))
+        rows = rows.where(inside)
+    hist = (rows.groupBy("c", F.shiftright("k", shift).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    parent = F.shiftright("b", BITS) if done else F.lit(0)
+    group = Window.partitionBy("c", "up")  # at most 2 ** BITS buckets
+    hist = hist.withColumn("up", parent).withColumn("before", F.sum("n").over(group.orderBy("b")) - F.col("n"))
+    hist = hist.withColumn("total", F.sum("n").over(group)).withColumn("rank", F.explode(ranks(F.col("total"))))
+    return hist.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))).collect()
+
+
+def select_ranks(df: DataFrame, cols: Sequence[str], ranks: Callable[[Column], Column]) -> tuple[dict[str, int], dict[tuple[str, int], float]]:
+    """(number of values by column, value by column and 0-based rank); ``ranks``: array of wanted ranks of a number of values."""
+    cols = list(cols)
+    total: dict[str, int] = {}
+    values: dict[tuple[str, int], float] = {}
+    # (column, prefix) -> (values before it, wanted ranks)
+    left: dict[tuple[int, int], tuple[int, list[int]]] = {}
+    for done in range(64 // BITS):
+        if done and not left:
+            break
+        open_: dict[int, list[int]] = {}
+        wanted = None
+        for (c, up), (base, rs) in left.items():
+            open_.setdefault(c, []).append(up)
+            here, array = (F.col("c") == c) & (F.col("up") == up), F.array(*[F.lit(r - base).cast("long") for r in rs])
+            wanted = F.when(here, array) if wanted is None else wanted.when(here, array)
+        hits = _round(df, cols, done, open_, (lambda n: wanted) if done else ranks)
+        before, left = left, {}
+        for h in hits:
+            base = before[(h["c"], h["up"])][0] if done else 0
+            if not done:
+                total[cols[h["c"]]] = h["total"]
+            rank = h["rank"] + base
+            if h["lo"] == h["hi"]:
+                values[(cols[h["c"]], rank)] = h["lo"]
+            else:
+                left.setdefault((h["c"], h["b"]), (base + h["before"], []))[1].append(rank)
+    return total, values
 
-def quantile_values(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
-                    method: str | None = None, max_rows: int | None = None) -> dict[str, list[float | None]]:
-    """{column: [q(p) for p in ps]}; None for a column without values.
 
-    ``max_rows``: a known upper bound of the row count (e.g. a count the
-    caller already made); at or below ``MAP_LIMIT`` it bounds the distinct
-    values too, so the probe pass is skipped.
-    """
-    cols = list(cols)
-    ps = [float(p) for p in ps]
-    if not cols:
-        return {}
-    spark = df.sparkSession
-    m = _method(spark, method)
-    if m == "auto" and max_rows is not None and max_rows <= MAP_LIMIT:
-        m = "map"
-    if m == "auto":
-        probe = df.agg(*[F.approx_count_distinct(F.col(c).cast("double")).alias(c) for c in cols]).first()
-        m = "map" if all((probe[c] or 0) <= MAP_LIMIT for c in cols) else "rank"
-    if m == "sketch":
-        return _sketch_quantiles(df, cols, ps)
-    if m == "map":
-        row = df.agg(*[F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
-                                    F.array(*[F.lit(p) for p in ps])).alias(c) for c in cols]).first()
-        return {c: (list(row[c]) if row[c] is not None else [None] * len(ps)) for c in cols}
-    return _rank_select(df, cols, ps)
+def quantile_values(df: DataFrame, cols: Sequence[str], ps: Sequence[float]) -> dict[str, list[float | None]]:
+    """{column: [q(p) for p in ps]}; None for a column without values.  Nulls and NaN are no values."""
+    cols, ps = list(cols), [float(p) for p in ps]
+    if not cols or not ps:
+        return {c: [] for c in cols}
 
+    def ranks(n: Column) -> Column:
+        places = [F.lit(p) * (n - 1) for p in ps]
+        return F.array_distinct(F.array(*[f(x).cast("long") for x in places for f in (F.floor, F.ceil)]))
 
-def quantile_row(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
-                 names: Sequence[str] | None = None, method: str | None = None) -> DataFrame:
-    """One-row frame with ``{col}_{name}`` columns (for a broadcast cross join)."""
-    names = list(names) if names else [f"p{int(round(p * 100)):02d}" for p in ps]
-    vals = quantile_values(df, cols, ps, method)
-    fields, row = [], []
+    total, values = select_ranks(df, cols, ranks)
+    out: dict[str, list[float | None]] = {}
     for c in cols:
-        for n, v in zip(names, vals[c]):
-            fields.append(T.StructField(f"{c}_{n}", T.DoubleType(), True))
-            row.append(None if v is None else float(v))
-    return df.sparkSession.createDataFrame([tuple(row)], T.StructType(fields))
+        out[c] = [None] * len(ps)
+        for i, p in enumerate(ps if c in total else []):
+            at = p * (total[c] - 1)
+            a, b = values[(c, math.floor(at))], values[(c, math.ceil(at))]
+            out[c][i] = a if a == b else a + (b - a) * (at - math.floor(at))
+    return out
 
 
-def quantile_long(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
-                  names: Sequence[str] | None = None, method: str | None = None) -> DataFrame:
+def quantile_long(df: DataFrame, cols: Sequence[str], ps: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """(column, <name per p>...) with one row per column."""
     names = list(names) if names else [f"p{int(round(p * 100)):02d}" for p in ps]
-    vals = quantile_values(df, cols, ps, method)
+    vals = quantile_values(df, cols, ps)
     schema = T.StructType([T.StructField("column", T.StringType(), False)] +
                           [T.StructField(n, T.DoubleType(), True) for n in names])
     rows = [tuple([c] + [None if v is None else float(v) for v in vals[c]]) for c in cols]
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-# --- rank selection ----------------------------------------------------------
-
-def _rank_select(df: DataFrame, cols: list[str], ps: list[float]) -> dict[str, list]:
-    def ranks_of(n_total):
-        out = set()
-        for p in ps:
-            pos = p * (n_total - 1)
-            out.update((math.floor(pos), math.ceil(pos)))
-        return out
-
-    stats, wanted = _select_ranks(df, cols, ranks_of)
-    out: dict[str, list] = {}
-    for c in cols:
-        if c not in stats:
-            out[c] = [None] * len(ps)
-            continue
-        n_total = stats[c]["N"]
-        res = []
-        for p in ps:
-            pos = p * (n_total - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = wanted[(c, lo_r)], wanted[(c, hi_r)]
-            res.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
-        out[c] = res
-    return out
-
-
 def value_at_rank(df: DataFrame, col: str, rank: int) -> float | None:
-    """Exact value of 0-based ``rank`` in ascending order of a numeric column
-    (nulls ignored), by distributed rank selection; None if out of range."""
-    stats, wanted = _select_ranks(df, [col], lambda n: {rank} if 0 <= rank < n else set())
-    return wanted.get((col, rank))
-
-
-def _select_ranks(df: DataFrame, cols: list[str], ranks_of) -> tuple[dict, dict]:
-    spark = df.sparkSession
-    vc = (unpivot_numeric(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        stats = {r["column"]: r for r in vc.groupBy("column").agg(
-            F.sum("n").alias("N"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        # wanted 0-based ranks per column
-        wanted: dict[tuple[str, int], float | None] = {}
-        for c in cols:
-            if c not in stats:
-                continue
-            for r in ranks_of(stats[c]["N"]):
-                wanted[(c, r)] = None
-        # state per target: (lo, hi, count strictly below lo)
-        state = {k: (stats[k[0]]["lo"], stats[k[0]]["hi"], 0) for k in wanted}
-        while True:
-            pending = {k: s for k, s in state.items() if wanted[k] is None}
-            if not pending:
-                break
-            # single-value ranges resolve at once
-            for k, (lo, hi, below) in list(pending.items()):
-                if lo == hi:
-                    wanted[k] = lo
-                    del pending[k]
-            if not pending:
-                break
-            ranges = sorted({(k[0], s[0], s[1]) for k, s in pending.items()})
-            rid = {r: i for i, r in enumerate(ranges)}
-            rdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in rid.items()],
-                                        "rid int, column string, lo double, hi double")
-            hist = (vc.join(F.broadcast(rdf), "column")
-                    .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                    .withColumn("b", F.least(F.width_bucket("v", "lo", "hi", F.lit(BUCKETS)), F.lit(BUCKETS)))
-                    .groupBy("rid", "b")
-                    .agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("d"),
-                         F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                    .collect())
-            per_range: dict[int, list] = {}
-            for r in hist:
-                per_range.setdefault(r["rid"], []).append(r)
-            finals = []
-            for k, (lo, hi, below) in pending.items():
-                c, rank = k
-                buckets = sorted(per_range[rid[(c, lo, hi)]], key=lambda r: r["b"])
-                acc = below
-                for b in buckets:
-                    if acc + b["cnt"] > rank:
-                        if b["bmin"] == b["bmax"]:
-                            wanted[k] = b["bmin"]
-                        elif b["d"] <= FINAL_LIMIT or b["cnt"] == 0:
-                            finals.append((k, b["bmin"], b["bmax"], acc))
-                        state[k] = (b["bmin"], b["bmax"], acc)
-                        break
-                    acc += b["cnt"]
-            if finals:
-                # each final slice holds at most FINAL_LIMIT distinct values;
-                # all slices of this round come back in one job
-                slices = sorted({(k[0], lo, hi) for k, lo, hi, _ in finals})
-                sid = {x: i for i, x in enumerate(slices)}
-                sdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in sid.items()],
-                                            "sid int, column string, lo double, hi double")
-                got: dict[int, list] = {}
-                for r in (vc.join(F.broadcast(sdf), "column")
-                          .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                          .select("sid", "v", "n").collect()):
-                    got.setdefault(r["sid"], []).append((r["v"], r["n"]))
-                for (k, lo, hi, below) in finals:
-                    c, rank = k
-                    acc = below
-                    for v, n in sorted(got.get(sid[(c, lo, hi)], [])):
-                        if acc + n > rank:
-                            wanted[k] = v
-                            break
-                        acc += n
-    finally:
-        vc.unpersist()
-    return stats, wanted
-
-
-# --- sketch + bracket refinement ----------------------------------------------
-
-def _sketch_quantiles(df: DataFrame, cols: list[str], ps: list[float]) -> dict[str, list]:
-    eps = 3.0 / SKETCH_ACCURACY
-    qs = sorted({min(1.0, max(0.0, p + d)) for p in ps for d in (-eps, eps)})
-    aggs = []
-    for c in cols:
-        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        aggs += [F.count(x).alias(f"n__{c}"), F.min(x).alias(f"lo__{c}"), F.max(x).alias(f"hi__{c}"),
-                 F.percentile_approx(x, F.array(*[F.lit(q) for q in qs]), SKETCH_ACCURACY).alias(f"q__{c}")]
-    row = df.agg(*aggs).first()
-    targets: dict[tuple[str, int], tuple[float, float]] = {}
-    stats = {}
-    for c in cols:
-        n = row[f"n__{c}"]
-        if not n:
-            continue
-        stats[c] = n
-        approx = dict(zip(qs, row[f"q__{c}"]))
-        lo_all, hi_all = row[f"lo__{c}"], row[f"hi__{c}"]
-        for p in ps:
-            pos = p * (n - 1)
-            if n > FINAL_LIMIT and n / SKETCH_ACCURACY >= 1.0:
-                lo = lo_all if p - eps <= 0 else approx[min(1.0, max(0.0, p - eps))]
-                hi = hi_all if p + eps >= 1 else approx[min(1.0, max(0.0, p + eps))]
-            else:          # small input: the whole range is already a small slice
-                lo, hi = lo_all, hi_all
-            for r in (math.floor(pos), math.ceil(pos)):
-                old = targets.get((c, r))
-                targets[(c, r)] = (lo, hi) if old is None else (min(old[0], lo), max(old[1], hi))
-    small = {c for c, n in stats.items() if n <= FINAL_LIMIT}
-    wanted = _refine(df, targets, small)
-    out: dict[str, list] = {}
-    for c in cols:
-        if c not in stats:
-            out[c] = [None] * len(ps)
-            continue
-        res = []
-        for p in ps:
-            pos = p * (stats[c] - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = wanted[(c, lo_r)], wanted[(c, hi_r)]
-            res.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
-        out[c] = res
-    return out
-
-
-def _refine(df: DataFrame, targets: dict[tuple[str, int], tuple[float, float]],
-            small: set[str] = frozenset()) -> dict:
-    """Exact value at each (column, rank) given a bracket [lo, hi] containing it.
-
-    Every round is one scan of the raw values joined to the (small, broadcast)
-    list of open ranges: bucket 0 counts values below the range, buckets 1..B
-    split the range.  A range that cannot be split (one value) or holds at most
-    FINAL_LIMIT rows is resolved from its (value, count) pairs.  Columns in
-    ``small`` (at most FINAL_LIMIT values, brackets = [min, max]) skip the
-    histogram and are read as one slice at once.
-    """
-    if not targets:
-        return {}
-    spark = df.sparkSession
-    cols = sorted({c for c, _ in targets})
-    long = unpivot_numeric(df, cols)
-    wanted: dict = {k: None for k in targets}
-    state = dict(targets)
-    first = True
-    while True:
-        pending = {k: v for k, v in state.items() if wanted[k] is None}
-        if not pending:
-            return wanted
-        if first and small:
-            first = False
-            direct = [(k, lo, hi, 0) for k, (lo, hi) in pending.items() if k[0] in small]
-            if direct:
-                _resolve_slices(spark, long, direct, wanted)
-                continue
-        first = False
-        ranges = sorted({(k[0], lo, hi) for k, (lo, hi) in pending.items()})
-        rid = {r: i for i, r in enumerate(ranges)}
-        rdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in rid.items()],
-                                    "rid int, column string, lo double, hi double")
-        j = long.join(F.broadcast(rdf), "column").where(F.col("v") <= F.col("hi"))
-        b = (F.when(F.col("v") < F.col("lo"), F.lit(0))
-             .when(F.col("lo") == F.col("hi"), F.lit(1))
-             .otherwise(F.least(F.width_bucket("v", "lo", "hi", F.lit(BUCKETS)), F.lit(BUCKETS))))
-        hist = (j.withColumn("b", b).groupBy("rid", "b")
-                .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                .collect())
-        per: dict[int, list] = {}
-        for r in hist:
-            per.setdefault(r["rid"], []).append(r)
-        finals = []
-        for k, (lo, hi) in pending.items():
-            c, rank = k
-            buckets = sorted(per.get(rid[(c, lo, hi)], []), key=lambda r: r["b"])
-            acc = 0
-            for bk in buckets:
-                if bk["b"] == 0:
-                    if bk["cnt"] > rank:  # the bracket lies too high: widen it to the values below
-                        state[k] = (bk["bmin"], bk["bmax"])
-                        break
-                    acc += bk["cnt"]
-                    continue
-                if acc + bk["cnt"] > rank:
-                    if bk["bmin"] == bk["bmax"]:
-                        wanted[k] = bk["bmin"]
-                    elif bk["cnt"] <= FINAL_LIMIT:
-                        finals.append((k, bk["bmin"], bk["bmax"], acc))
-                    state[k] = (bk["bmin"], bk["bmax"])
-                    break
-                acc += bk["cnt"]
-            else:
-                # the bracket lies too low: widen it to the column's largest value
-                top = long.where(F.col("column") == c).agg(F.max("v")).first()[0]
-                if top is None or top <= hi:
-                    raise RuntimeError(f"quantile bracket for {k} does not hold the rank")
-                state[k] = (lo, top)
-        if finals:
-            _resolve_slices(spark, long, finals, wanted)
-
-
-def _resolve_slices(spark, long: DataFrame, finals: list, wanted: dict) -> None:
-    """Read the (value, count) pairs of small slices in one job and pick each rank."""
-    slices = sorted({(k[0], lo, hi) for k, lo, hi, _ in finals})
-    sid = {x: i for i, x in enumerate(slices)}
-    sdf = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in sid.items()],
-                                "sid int, column string, lo double, hi double")
-    got: dict[int, list] = {}
-    for r in (long.join(F.broadcast(sdf), "column")
-              .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-              .groupBy("sid", "v").agg(F.count(F.lit(1)).alias("n")).collect()):
-        got.setdefault(r["sid"], []).append((r["v"], r["n"]))
-    for (k, lo, hi, below) in finals:
-        c, rank = k
-        acc = below
-        for v, n in sorted(got.get(sid[(c, lo, hi)], [])):
-            if acc + n > rank:
-                wanted[k] = v
-                break
-            acc += n
-
-
-def median_values(df: DataFrame, cols: Iterable[str], method: str | None = None) -> dict[str, float | None]:
-    vals = quantile_values(df, list(cols), [0.5], method)
-    return {c: v[0] for c, v in vals.items()}
+    """Exact value of 0-based ``rank`` in ascending order of a numeric column (nulls ignored); None if out of range."""
+    if rank < 0:
+        return None
+    _, values = select_ranks(df, [col], lambda n: F.array(F.lit(rank).cast("long")))
+    return values.get((col, rank))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from logsift.operators import stats as S
+from logsift.operators.quantiles import quantile_long, select_ranks
 from logsift.plans.oracle_views import with_views
 from logsift.plans.registry import query
 from logsift.plans.views import LOG_DATA_COLUMNS, dup_logs, logs, table
@@ -207,22 +210,26 @@ def _quantile_bounds_sql():
     return "\nUNION ALL\n".join(parts)
 
 
-def _quantile_bounds(spark, sf, method):
-    from logsift.operators.quantiles import quantile_long
-    q = quantile_long(table(spark, sf, "lineitem"), LINEITEM_NUMERIC, QB_PS, QB_NAMES, method)
-    return q.select("column", *[F.round(n, 6).alias(n) for n in QB_NAMES])
-
-
 @query("quantile_bounds", _quantile_bounds_sql())
 def q_quantile_bounds(spark, sf):
-    """D3 exact quantiles (auto strategy) over lineitem."""
-    return _quantile_bounds(spark, sf, None)
+    """D3 exact quantiles over lineitem."""
+    q = quantile_long(table(spark, sf, "lineitem"), LINEITEM_NUMERIC, QB_PS, QB_NAMES)
+    return q.select("column", *[F.round(n, 6).alias(n) for n in QB_NAMES])
 
 
 @query("quantile_bounds_rank", _quantile_bounds_sql())
 def q_quantile_bounds_rank(spark, sf):
-    """D3 exact quantiles forced through the distributed rank selection."""
-    return _quantile_bounds(spark, sf, "rank")
+    """D3 exact order statistics at given ranks, interpolated in Spark."""
+    rows = table(spark, sf, "lineitem")
+    n = rows.count()
+    places = [p * (n - 1) for p in QB_PS]
+    ranks = sorted({int(f(x)) for x in places for f in (math.floor, math.ceil)})
+    _, at = select_ranks(rows, LINEITEM_NUMERIC, lambda _: F.array(*[F.lit(r).cast("long") for r in ranks]))
+    known = spark.createDataFrame([(c, r, v) for (c, r), v in at.items()], "column string, rank long, v double")
+    one = lambda r: F.max(F.when(F.col("rank") == int(r), F.col("v")))
+    q = known.groupBy("column").agg(*[
+        F.round(one(math.floor(x)) + (one(math.ceil(x)) - one(math.floor(x))) * (x - math.floor(x)), 6).alias(m) for x, m in zip(places, QB_NAMES)])
+    return q.select("column", *QB_NAMES)
 
 
 @query("time_range_events", """

@@ -1,13 +1,16 @@
-"""Exact quantiles: both strategies, fixture values, skewed data."""
+"""Exact quantiles: fixture values, order of the keys, skewed data, plan."""
 
+import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from logsift.functions import outlier as O
 from logsift.operators import clean as C
-from logsift.operators.quantiles import quantile_values
+from logsift.operators import quantiles as Q
+from logsift.operators.quantiles import quantile_values, with_order_key
 
 from conftest import SF001
 
@@ -16,10 +19,9 @@ def _df(spark, values):
     return spark.createDataFrame([(float(v),) for v in values], "x double")
 
 
-@pytest.mark.parametrize("method", ["map", "rank", "sketch"])
-def test_iqr_fixture(spark, method):
+def test_iqr_fixture(spark):
     df = _df(spark, list(range(1, 10)) + [100])
-    q1, q3 = quantile_values(df, ["x"], [0.25, 0.75], method)["x"]
+    q1, q3 = quantile_values(df, ["x"], [0.25, 0.75])["x"]
     assert (q1, q3) == (3.25, 7.75)
     flags = [r[0] for r in df.select(O.iqr_flag("x", F.lit(q1), F.lit(q3), 1.5, False)).collect()]
     assert flags == [False] * 9 + [True]
@@ -57,53 +59,80 @@ def test_not_outliers_fixture(spark):
     assert log == []
 
 
-def test_rank_equals_map_with_hot_value(spark):
+def percentiles(df, cols, ps):
+    """Spark's own exact percentile."""
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in ps])).alias(c) for c in cols]).first()
+    return {c: list(row[c]) for c in cols}
+
+
+def test_hot_value_and_long_tail(spark):
     rnd = random.Random(7)
-    vals = [rnd.random() * 1000 for _ in range(3000)] + [42.0] * 2000 + [1e9, -1e9]
-    df = _df(spark, vals)
+    vals = [rnd.random() * 1000 for _ in range(3000)] + [42.0] * 2000 + [1e9, -1e9, 1e-320, -1e-320, 0.0, -0.0, 1e307, -1e307]
+    df = _df(spark, vals).withColumn("y", -F.col("x") * 3)
     ps = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
-    a = quantile_values(df, ["x"], ps, "map")["x"]
-    b = quantile_values(df, ["x"], ps, "rank")["x"]
-    c = quantile_values(df, ["x"], ps, "sketch")["x"]
-    assert a == pytest.approx(b, rel=1e-12, abs=1e-9)
-    assert a == pytest.approx(c, rel=1e-12, abs=1e-9)
+    got, want = quantile_values(df, ["x", "y"], ps), percentiles(df, ["x", "y"], ps)
+    for c in ("x", "y"):
+        assert got[c] == pytest.approx(want[c], rel=1e-12, abs=1e-9)
 
 
-def test_rank_equals_map_on_lineitem(spark):
+def test_lineitem(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    cols = ["l_quantity", "l_extendedprice", "l_discount"]
-    a = quantile_values(li, cols, [0.1, 0.5, 0.9], "map")
-    b = quantile_values(li, cols, [0.1, 0.5, 0.9], "rank")
-    s = quantile_values(li, cols, [0.1, 0.5, 0.9], "sketch")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_orderkey"]
+    got, want = quantile_values(li, cols, [0.1, 0.5, 0.9]), percentiles(li, cols, [0.1, 0.5, 0.9])
     for c in cols:
-        assert a[c] == pytest.approx(b[c], rel=1e-12)
-        assert a[c] == pytest.approx(s[c], rel=1e-12)
+        assert got[c] == pytest.approx(want[c], rel=1e-12)
 
 
-def test_all_null_column(spark):
-    df = spark.createDataFrame([(None,), (None,)], "x double")
-    assert quantile_values(df, ["x"], [0.5], "rank")["x"] == [None]
-    assert quantile_values(df, ["x"], [0.5], "map")["x"] == [None]
-    assert quantile_values(df, ["x"], [0.5], "sketch")["x"] == [None]
+def test_no_values(spark):
+    df = spark.createDataFrame([(None, float("nan"), 1.0), (None, None, None)], "x double, y double, z double")
+    assert quantile_values(df, ["x", "y", "z"], [0.5]) == {"x": [None], "y": [None], "z": [1.0]}
+    assert quantile_values(df.limit(0), ["x"], [0.5, 1.0]) == {"x": [None, None]}
+    assert quantile_values(df, [], [0.5]) == {}
 
 
-def test_sketch_brackets_on_large_skewed_input(spark):
-    """Enough rows that the sketch brackets are used (N > accuracy), with a hot
-    value holding a third of the rows and a long tail."""
-    n = 60000
-    df = spark.range(n).select(
+def test_many_rows_with_a_hot_value(spark):
+    df = spark.range(60000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.pow(F.col("id") * 1.0001, 1.5)).alias("x"))
     ps = [0.0, 0.001, 0.1, 0.3333, 0.5, 0.9, 0.999, 1.0]
-    a = quantile_values(df, ["x"], ps, "map")["x"]
-    c = quantile_values(df, ["x"], ps, "sketch")["x"]
-    assert a == pytest.approx(c, rel=1e-12, abs=1e-9)
+    assert quantile_values(df, ["x"], ps)["x"] == pytest.approx(percentiles(df, ["x"], ps)["x"], rel=1e-12, abs=1e-9)
+
+
+def test_keys_keep_the_order_of_all_doubles(spark):
+    rnd = random.Random(1)
+    vals = [struct.unpack(">d", rnd.randbytes(8))[0] for _ in range(5000)]
+    vals = [v for v in vals if v == v] + [s * 2.0 ** e for e in range(-1074, 1024) for s in (1, -1)]
+    vals += [s * math.nextafter(2.0 ** e, to) for e in range(-1022, 1024, 7) for to in (0.0, math.inf) for s in (1, -1)] + [math.inf, -math.inf, 0.0]
+    rows = with_order_key(spark.createDataFrame([(v,) for v in vals], "x double"), "x", "k").collect()
+    for r in rows:
+        bits = struct.unpack(">q", struct.pack(">d", abs(r["x"])))[0]
+        assert r["k"] == (-bits if r["x"] < 0 else bits), r
+
+
+def test_plan_joins_nothing_and_reads_at_most_four_times(spark, monkeypatch):
+    plans = []
+
+    def spy(df, *a):
+        out = one_round(df, *a)
+        plans.append(a[1])
+        return out
+
+    one_round = Q._round
+    monkeypatch.setattr(Q, "_round", spy)
+    df = spark.range(40000).select((F.col("id") * 1e-9 + 1).alias("x"), (F.col("id") % 5).cast("double").alias("y"))
+    assert quantile_values(df, ["x", "y"], [0.5]) == {"x": [1 + 19999.5e-9], "y": [2.0]}
+    assert plans == list(range(len(plans))) and len(plans) <= 4
+    for done, open_ in ((0, {}), (1, {0: [16368], 1: [16384]})):
+        seen = []
+        monkeypatch.setattr(type(df), "collect", lambda self: seen.append(self._jdf.queryExecution().executedPlan().toString()) or [])
+        one_round(df, ["x", "y"], done, open_, lambda n: F.array(F.lit(1).cast("long")))
+        monkeypatch.undo()
+        assert "Join" not in seen[0] and "partial_count" in seen[0]
 
 
 def test_value_at_rank(spark):
     df = _df(spark, [5, 1, 1, 3, 9, 7])
-    from logsift.operators.quantiles import value_at_rank
-    assert [value_at_rank(df, "x", r) for r in range(6)] == [1.0, 1.0, 3.0, 5.0, 7.0, 9.0]
-    assert value_at_rank(df, "x", 6) is None
+    assert [Q.value_at_rank(df, "x", r) for r in range(6)] == [1.0, 1.0, 3.0, 5.0, 7.0, 9.0]
+    assert Q.value_at_rank(df, "x", 6) is None and Q.value_at_rank(df, "x", -1) is None
 
 
 def test_sample_n_equals_md5_order(spark):
