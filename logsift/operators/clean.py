@@ -8,11 +8,12 @@ one lazy plan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from logsift.contracts import (CRITICAL_FIELDS, DUPLICATE_KEYS, DUPLICATE_WINDOW_SECONDS, K8S_LOG,
@@ -24,7 +25,7 @@ from logsift.functions.time import parse_ts
 from logsift.operators.dedup import drop_duplicates
 from logsift.operators.quantiles import quantile_values
 from logsift.operators.stats import NUMERIC, mode_values
-from logsift.session import checkpoint_dir
+from logsift.session import scratch_path
 
 MAX_PATTERN_FIELDS = 16   # null-pattern histogram over at most 2^16 rows
 
@@ -265,16 +266,21 @@ def order_by_time(df: DataFrame, ts: str = "timestamp", tiebreak: str | None = N
 
 @dataclass
 class CleanResult:
+    """``data`` is ordered when it is read; ``errors`` are looked for when they are asked for."""
     data: DataFrame
     log: DataFrame
     summary: DataFrame
-    errors: DataFrame
+    validation: Callable[[], DataFrame]
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        return self.validation()
 
 
 def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mode: str = "threshold",
           text_fields: Sequence[str] = ("message",), dedup_keys: Sequence[str] = DUPLICATE_KEYS,
           dedup_seconds: int = DUPLICATE_WINDOW_SECONDS, outlier_fields: Sequence[str] = OUTLIER_FIELDS,
-          max_length: int | None = None, validate_output: bool = True) -> CleanResult:
+          max_length: int | None = None) -> CleanResult:
     """missing -> timestamps -> text -> duplicates -> outliers -> order -> validate.
 
     Whole texts by default; ``max_length`` asks for the cut (H4), and the summary then
@@ -292,31 +298,26 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     if max_length is not None:
         step3 = step3.withColumns({f"_cut_{f}": F.length(f) > max_length for f in tf}) \
             .withColumns({f: F.trim(truncate(f, max_length)) for f in tf})
-    cached3 = step3.persist(StorageLevel.MEMORY_AND_DISK)
-    step3 = cached3
     c_aggs = [F.count(F.lit(1)).alias("rows")]
     if "timestamp" in df.columns:
         c_aggs += [F.count("timestamp").alias("ts_valid")]
     c_aggs += [F.count_if(changed(F.col(f"_old_{f}"), F.col(f))).alias(f"chg_{f}") for f in tf]
     if max_length is not None:
         c_aggs += [F.count_if(f"_cut_{f}").alias(f"cut_{f}") for f in tf]
-    c3 = step3.agg(*c_aggs).first()
-    step3 = step3.drop(*[f"{p}_{f}" for f in tf for p in ("_old", "_cut")])
-    # duplicates
+    # the one write of the cleaned table counts the rows before and after the duplicates go (E2);
+    # it lies in the shared folder, so later passes survive lost executors
+    texts, kept = Observation(), Observation()
+    step3 = step3.observe(texts, *c_aggs).drop(*[f"{p}_{f}" for f in tf for p in ("_old", "_cut")])
     keys = [k for k in dedup_keys if k in df.columns]
     step4 = drop_duplicates(step3, keys, pos_col, "timestamp", dedup_seconds) if keys else step3
-    # the deduplicated table feeds every later pass: write it once to the
-    # shared checkpoint folder (lineage cut, survives lost executors) and
-    # release the cached pre-dedup rows
-    checkpoint_dir(spark)
-    step4 = step4.checkpoint(eager=True)
-    cached3.unpersist()
-    n4 = step4.count()
+    path = scratch_path(spark, "clean")
+    step4.observe(kept, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    step4 = spark.read.parquet(path)
+    c3, n4 = texts.get, kept.get["rows"]
     # outliers (I6)
     step5, out_log = cap_outliers(step4, outlier_fields)
     # order (F1)
     step6 = order_by_time(step5, "timestamp", pos_col) if "timestamp" in df.columns else step5
-    errors = validate(step6, contract, pos_col=pos_col) if validate_output else None
 
     log_rows = list(plan.log)
     s = len(log_rows)
@@ -338,4 +339,4 @@ def clean(df: DataFrame, pos_col: str, contract: Contract = K8S_LOG, missing_mod
     if max_length is not None:
         summary.append(("text_cut", int(sum(c3[f"cut_{f}"] for f in tf))))
     summary_df = spark.createDataFrame(summary, "metric string, value long")
-    return CleanResult(step6, log_df, summary_df, errors)
+    return CleanResult(step6, log_df, summary_df, lambda: validate(step5, contract, pos_col=pos_col))

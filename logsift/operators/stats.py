@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsift.functions import outlier as O
 from logsift.functions.rules import pct
 from logsift.functions.time import span_days
+from logsift.operators.dedup import digest
 from logsift.operators.quantiles import quantile_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -104,28 +105,54 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, k: float =
 
 # --- D5, D6 ------------------------------------------------------------------
 
-def _value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
-    return (df.select(F.inline(arr)).where(F.col("value").isNotNull())
-            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+#: First characters of a text that travel with its hash: they settle most ties for the mode.
+PREFIX = 64
+
+
+def cells(df: DataFrame, cols: Sequence[str], *more: Column) -> DataFrame:
+    """(c, h1, h2, ...): a row for each cell, the column's number and a 128-bit hash of its value (null for null).
+
+    Whatever is counted by value goes by this key of fixed size: no value is a shuffle key, and no row is copied whole."""
+    def cell(i: int, c: str) -> Column:
+        x = F.col(f"`{c}`")
+        return F.struct(F.lit(i).alias("c"), F.when(x.isNotNull(), F.xxhash64(x)).alias("h1"), F.xxhash64(F.lit(7), x).alias("h2"),
+                        *[m(x, df.schema[c].dataType) for m in more])
+
+    return df.select(F.inline(F.array(*[cell(i, c) for i, c in enumerate(cols)])))
+
+
+def _text(x: Column, _) -> Column:
+    return x.cast("string").alias("value")
 
 
 def text_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
     """distinct count, most frequent (smallest on ties), mean and max length.
 
-    Two-level aggregation: (column, value) counts with a map-side combine, then
-    per column.  A hot value costs one row; no value map sits in one task.
+    Two-level aggregation by the hash of a value: a hot value costs one row a task.  The most frequent values of a column are
+    told apart by their first characters, one row per column; a second scan keeps only the cells that begin so,
+    and takes the smallest of those that are as frequent.
     """
     cols = list(cols or string_columns(df))
-    vc = _value_counts_long(df, cols)
-    ln = F.length("value")
-    return (vc.groupBy("column")
-            .agg(F.count(F.lit(1)).alias("unique_count"),
-                 F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("_mode"),
-                 F.round(F.sum(ln * F.col("n")) / F.sum("n"), digits).alias("avg_length"),
-                 F.max(ln).cast("long").alias("max_length"))
-            .select("column", "unique_count", F.col("_mode.value").alias("most_frequent"),
-                    "avg_length", "max_length"))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, unique_count long, most_frequent string, avg_length double, max_length long")
+    size = lambda x, _: F.length(x.cast("string")).alias("size")
+    head = lambda x, _: F.substring(x.cast("string"), 1, PREFIX).alias("head")
+    counted = (cells(df, cols, size, head).where("h1 is not null").groupBy("c", "h1", "h2")
+               .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"), F.min("head").alias("head")))
+    per = (counted.groupBy("c").agg(
+        F.count(F.lit(1)).alias("unique_count"), F.min(F.struct((-F.col("n")).alias("neg"), F.col("head"))).alias("top"),
+        F.round(F.sum(F.col("size") * F.col("n")) / F.sum("n"), digits).alias("avg_length"),
+        F.max("size").cast("long").alias("max_length")).collect())  # one row per column
+    names = df.sparkSession.createDataFrame([(r["c"], cols[r["c"]], r["unique_count"], r["avg_length"], r["max_length"]) for r in per],
+                                            "c int, column string, unique_count long, avg_length double, max_length long")
+    like, often = F.lit(False), F.lit(None).cast("long")
+    for r in per:
+        like = like | ((F.col("c") == r["c"]) & (F.substring("value", 1, PREFIX) == r["top"]["head"]))
+        often = F.when(F.col("c") == r["c"], F.lit(-r["top"]["neg"])).otherwise(often)
+    modes = (cells(df, cols, _text).where(F.col("h1").isNotNull() & like).groupBy("c", "h1", "h2")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value")).where(F.col("n") == often)
+             .groupBy("c").agg(F.min("value").alias("most_frequent")))
+    return modes.join(F.broadcast(names), "c").select("column", "unique_count", "most_frequent", "avg_length", "max_length")
 
 
 def mode_values(df: DataFrame, cols: Sequence[str], default: str | None = "unknown") -> dict[str, str | None]:
@@ -147,20 +174,30 @@ def value_counts(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Full-row duplicates (all but the first of each group), nulls equal."""
+    """Full-row duplicates (all but the first of each group), nulls equal (D8); a row's SHA-256 is its key."""
     cols = list(cols or df.columns)
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    key = digest([(F.col(f"`{c}`"), df.schema[c].dataType) for c in cols])
+    g = df.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("total_rows"),
                  F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicate_rows")) \
         .withColumn("duplicate_pct", pct("duplicate_rows", "total_rows"))
 
 
+def _per_column(df: DataFrame, cols: Sequence[str], counted: DataFrame) -> DataFrame:
+    """``counted`` (by column number ``c``) under the columns' names, null where a column has no cell."""
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "c int, column string")
+    return names.join(counted, "c", "left").drop("c")  # one row per column
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Distinct non-null values per column (D9); one scan."""
+    """Distinct non-null values per column (D9), by 128-bit hashes; one scan."""
     cols = list(cols or df.columns)
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    wide = df.agg(*[fn(F.col(c)).alias(f"distinct__{c}") for c in cols])
-    return _unpivot(wide, cols, ["distinct"])
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"distinct__{c}") for c in cols])
+        return _unpivot(wide, cols, ["distinct"])
+    values = cells(df, cols).where("h1 is not null").groupBy("c", "h1", "h2").agg(F.lit(1).alias("one"))
+    counted = _per_column(df, cols, values.groupBy("c").agg(F.count(F.lit(1)).alias("distinct")))
+    return counted.select("column", F.coalesce("distinct", F.lit(0)).cast("long").alias("distinct"))
 
 
 def sample_values(df: DataFrame, col: str, k: int, pos_col: str, include_null: bool = False) -> DataFrame:
@@ -171,18 +208,21 @@ def sample_values(df: DataFrame, col: str, k: int, pos_col: str, include_null: b
 
 
 def sample_values_joined(df: DataFrame, cols: Sequence[str], k: int, pos_col: str, sep: str = "|") -> DataFrame:
-    """(column, samples) with the first k distinct values joined, for many columns
-    in one pass: first position per (column, value), then top-k per column
-    through a grouped limit (partial top-k before the shuffle)."""
-    from pyspark.sql import Window as W
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
-    firsts = (df.select(F.col(pos_col).alias("_pos"), F.inline(arr)).where(F.col("value").isNotNull())
-              .groupBy("column", "value").agg(F.min("_pos").alias("_first")))
-    w = W.partitionBy("column").orderBy("_first")
-    top = firsts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    return (top.groupBy("column")
-            .agg(F.concat_ws(sep, F.transform(F.array_sort(F.collect_list(F.struct("_first", "value"))),
-                                              lambda s: s["value"])).alias("samples")))
+    """(column, samples) with the first k distinct values joined, for many columns:
+    first position per (column, hash of the value), then top-k per column through a grouped limit (partial
+    top-k before the shuffle); the k values of each column are read at their positions."""
+    at = lambda x, _: F.col(pos_col).alias("pos")
+    firsts = cells(df, cols, at).where("h1 is not null").groupBy("c", "h1", "h2").agg(F.min("pos").alias("pos"))
+    w = Window.partitionBy("c").orderBy("pos")
+    top = firsts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).collect()  # k rows per column
+    if not top:
+        return df.sparkSession.createDataFrame([], "column string, samples string")
+    asked = F.lit(False)
+    for c in sorted({r["c"] for r in top}):
+        asked = asked | ((F.col("c") == c) & F.col("pos").isin([r["pos"] for r in top if r["c"] == c]))
+    found = cells(df.where(F.col(pos_col).isin(sorted({r["pos"] for r in top}))), cols, at, _text).where(asked)
+    joined = F.concat_ws(sep, F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda s: s["value"]))
+    return _per_column(df, cols, found.groupBy("c").agg(joined.alias("samples"))).where("samples is not null")
 
 
 # --- D11, D12 ---------------------------------------------------------------
@@ -254,26 +294,20 @@ def schema_info(df: DataFrame, pos_col: str, k: int = 3) -> DataFrame:
 
 
 def column_profile(df: DataFrame, digits: int = 6) -> DataFrame:
-    """non-null, null count, null %, distinct, mean/min/max for numerics (J12), one scan."""
+    """non-null, null count, null %, distinct, mean/min/max for numerics.
+
+    One scan: cells are counted and summed by the hash of their value, then by column."""
     cols = df.columns
-    nums = set(numeric_columns(df))
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for c in cols:
-        x = F.col(f"`{c}`")
-        aggs += [F.count(x).alias(f"non_null__{c}"), F.count_distinct(x).alias(f"unique__{c}")]
-        if c in nums:
-            aggs += [F.avg(x.cast("double")).alias(f"mean__{c}"), F.min(x.cast("double")).alias(f"min__{c}"),
-                     F.max(x.cast("double")).alias(f"max__{c}")]
-        else:
-            aggs += [F.lit(None).cast("double").alias(f"{m}__{c}") for m in ("mean", "min", "max")]
-    wide = df.agg(*aggs)
+    number = lambda x, kind: (x.cast("double") if isinstance(kind, NUMERIC) else F.lit(None).cast("double")).alias("x")
+    values = cells(df, cols, number).groupBy("c", "h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    there = F.col("h1").isNotNull()
+    found = values.groupBy("c").agg(F.sum("n").alias("rows"), F.sum(F.when(there, F.col("n"))).alias("non_null"), F.count_if(there).alias("unique"),
+                                    F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     dtypes = dict(df.dtypes)
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-                             *[F.col(f"`{m}__{c}`").alias(m) for m in ("non_null", "unique", "mean", "min", "max")])
-                    for c in cols])
-    return (wide.select("__n", F.inline(arr))
-            .select("column", "dtype", "non_null", (F.col("__n") - F.col("non_null")).alias("null_count"),
-                    pct(F.col("__n") - F.col("non_null"), "__n").alias("null_pct"),
-                    F.col("unique").cast("long").alias("unique"),
-                    F.round("mean", digits).alias("mean"), F.round("min", digits).alias("min"),
-                    F.round("max", digits).alias("max")))
+    kinds = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column string, dtype string")
+    n, rows = F.coalesce("non_null", F.lit(0)).cast("long"), F.coalesce("rows", F.lit(0)).cast("long")
+    return _per_column(df, cols, found).join(F.broadcast(kinds), "column").select(
+        "column", "dtype", n.alias("non_null"), (rows - n).alias("null_count"), pct(rows - n, rows).alias("null_pct"),
+        F.coalesce("unique", F.lit(0)).cast("long").alias("unique"), F.round(F.try_divide("s", n), digits).alias("mean"),
+        F.round("lo", digits).alias("min"), F.round("hi", digits).alias("max"))

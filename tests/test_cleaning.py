@@ -12,6 +12,7 @@ from logsift.operators import stats as S
 from logsift.operators import validate as V
 from logsift.sources import io as IO
 
+from conftest import SF001
 from fixtures import LOGS_SMALL, logs_small
 
 
@@ -165,3 +166,40 @@ def test_sequential_fallback_equals_histogram(spark, monkeypatch):
     assert [r[2:4] + r[5:] for r in a.log] == [r[2:4] + r[5:] for r in b.log]
     assert (a.rows_in, a.rows_out) == (b.rows_in, b.rows_out)
     assert C.apply_missing(lg, a).count() == C.apply_missing(lg, b).count()
+
+
+def test_profiles_of_odd_columns(spark):
+    schema = "a string, b double, c array<int>, d string"
+    df = spark.createDataFrame([("x" * 70 + "b", 0.0, [1], None), ("x" * 70 + "a", -0.0, [1], None), ("y", float("nan"), None, None), (None, None, None, None)], schema)
+    got = {r["column"]: tuple(r)[1:] for r in S.column_profile(df.drop("c")).collect()}
+    assert got["a"][1:5] == (3, 1, 25.0, 3) and got["b"][1:5] == (3, 1, 25.0, 2) and got["d"][1:] == (0, 4, 100.0, 0, None, None, None)
+    assert {r["column"]: r["distinct"] for r in S.distinct_counts(df).collect()} == {"a": 3, "b": 2, "c": 1, "d": 0}
+    assert {r["column"]: r["most_frequent"] for r in S.text_profile(df, ["a", "d"]).collect()} == {"a": "x" * 70 + "a"}
+    assert {r["column"]: r["distinct"] for r in S.distinct_counts(df.limit(0)).collect()} == dict.fromkeys("abcd", 0)
+    assert S.text_profile(df.limit(0), ["a"]).count() == 0
+    assert tuple(S.duplicate_rows(df.drop("a")).first())[:2] == (4, 1)
+
+
+def test_a_hot_key_is_flagged_once(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k"), F.lit(None).cast("string").alias("z")).repartition(7)
+    out = D.flag_duplicates(df, ["k", "z"], "id")
+    assert sorted(r["id"] for r in out.where("not is_duplicate").collect()) == sorted([1, *range(0, 5000, 3)])
+    assert out.count() == 5000 and out.columns == ["id", "k", "z", "is_duplicate"]
+    assert sorted(r["id"] for r in D.drop_duplicates(df, ["k"], "id").collect()) == sorted([1, *range(0, 5000, 3)])
+
+
+def test_length_prefixed_digests_tell_values_apart(spark):
+    df = spark.createDataFrame([(1, "a", "b1:c"), (2, "a1:b", "c"), (3, None, "a"), (4, "a", None), (5, "", "a"), (6, None, "a")], "id long, x string, y string")
+    assert [r["id"] for r in D.flag_row_duplicates(df, "id").where("is_duplicate").collect()] == [6]
+
+
+def test_cleaning_takes_few_jobs(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("clean-jobs", "")
+    df = spark.read.parquet(f"{SF001}/events.parquet").select(F.col("event_id").alias("log_id"), F.col("ts").alias("timestamp"), F.col("props").alias("message"),
+                                                             F.col("value").alias("cpu_usage_percent"))
+    r = C.clean(df, "log_id", K8S_LOG)
+    r.summary.collect()
+    n = len(sc.statusTracker().getJobIdsForGroup("clean-jobs"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert n <= 20 and "errors" not in vars(r)  # nothing is validated before the errors are asked for

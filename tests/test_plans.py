@@ -27,9 +27,23 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderpriority)]" in p
 
 
-def test_dedup_uses_partial_aggregation(spark):
-    p = _plan(E.queries()["drop_duplicates"](spark, SF001))
-    assert "HashAggregate" in p and "partial_min" in p
+def test_dedup_reads_once_and_joins_nothing(spark):
+    from logsift.operators import dedup as D
+    df = spark.read.parquet(f"{SF001}/events.parquet")
+    p = _plan(D.drop_duplicates(df, ["event_type", "user_id"], "event_id"))
+    assert "Join" not in p and p.count("FileScan") == 1 and "partial_min_by" in p
+    p = _plan(D.flag_duplicates(df, ["event_type", "user_id"], "event_id"))
+    assert "Join" not in p and p.count("FileScan") == 1
+
+
+def test_counts_by_value_expand_no_rows_and_shuffle_no_texts(spark):
+    import re
+    from logsift.operators import stats as S
+    df = spark.read.parquet(f"{SF001}/conversations.parquet")
+    for out in (S.distinct_counts(df), S.column_profile(df), S.duplicate_rows(df), S.text_profile(df, ["role", "text"])):
+        p = _plan(out)
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+        assert "Expand" not in p and keys and not any(re.search(r"\b(text|role|value)#", k) for k in keys)
 
 
 def test_text_profile_two_level_aggregation(spark):
