@@ -14,6 +14,9 @@ RUNS = 64
 #: UTF-8 bytes of text that a Python task handles at a time.
 CHUNK_BYTES = 4 << 20
 
+#: Passages of a long text in a training sample.
+PASSAGES = 12
+
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with files in the shared folder, which survive a lost executor."""
@@ -63,13 +66,15 @@ def held_out(id_col: str) -> Column:
 def label_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_label: int,
                  max_chars: int) -> list[tuple[str, str]]:
     """(text, label) of a bounded training sample: per label the ``rows_per_label``
-    rows with the smallest id hash among texts of at most ``max_chars`` characters.
+    rows with the smallest id hash among texts that are not empty.
 
-    Every label gets its own top-k, so that each task keeps only that many rows;
+    Every label gets its own top-k, so that each task keeps only that many rows; of a text of more than
+    ``max_chars`` characters PASSAGES evenly spaced passages are taken, so
     the sample is at most labels x rows_per_label x max_chars characters.
     """
     from pyspark.sql import Window
     label = F.col(f"`{label_col}`").cast("string")
+    docs = docs.where(F.length(text_of(text_col)) > 0)
     # one row per label; rows whose hash is beyond four times the share needed go before anything moves
     counts = {r["label"]: r["n"] for r in docs.select(label.alias("label")).where("label is not null").groupBy("label")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -77,8 +82,10 @@ def label_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, ro
         return []
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 4.0 * rows_per_label / n)))])
     src = docs.select(text_of(text_col).alias("text"), label.alias("label"), F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h"))
-    src = src.where(F.col("label").isNotNull() & (F.pmod(F.col("h"), F.lit(1 << 20)) < share[F.col("label")] * (1 << 20))
-                    & F.length("text").between(1, max_chars))
+    src = src.where(F.col("label").isNotNull() & (F.pmod(F.col("h"), F.lit(1 << 20)) < share[F.col("label")] * (1 << 20)))
+    part, size = max_chars // PASSAGES - 1, F.length("text")
+    spread = F.concat_ws(" ", *[F.substring("text", F.floor((size - part) * i / (PASSAGES - 1)).cast("int") + 1, F.lit(part)) for i in range(PASSAGES)])
+    src = src.withColumn("text", F.when(size > max_chars, spread).otherwise(F.col("text")))
     w = Window.partitionBy("label").orderBy("h", "text")
     rows = src.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= rows_per_label).select("text", "label", "h")
     return [(r["text"], r["label"]) for r in sorted(rows.collect(), key=lambda r: (r["label"], r["h"], r["text"]))]

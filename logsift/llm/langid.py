@@ -129,7 +129,7 @@ def logits_of(text: str, table, bias):
 
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """At most SAMPLE_ROWS texts of each language, of at most SAMPLE_CHARS characters, from rows that may be learned from."""
+    """At most SAMPLE_ROWS texts of each language, at most SAMPLE_CHARS characters of each, from rows that may be learned from."""
     free = docs.where(F.col(f"`{id_col}`").isNotNull() & ~held_out(f"`{id_col}`"))
     return label_sample(free, id_col, text_col, lang_col, SAMPLE_ROWS, SAMPLE_CHARS)
 

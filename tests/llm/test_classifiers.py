@@ -32,6 +32,20 @@ def test_language_id_odd_rows(spark):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_languages_of_long_texts_only_are_learned(spark):
+    rng = random.Random(2)
+    say = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    en, de = ["the", "and", "with", "house", "going", "there", "thought"], ["und", "nicht", "haus", "gehen", "über", "schön", "gedacht"]
+    rows = [(i, say(en, 40) if i % 2 else say(de, 1400), "en" if i % 2 else "de") for i in range(200)]
+    rows += [(1000 + i, "", "de") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.training_sample(df)
+    assert {y for _, y in sample} == {"de", "en"} and max(len(t) for t, _ in sample) <= langid.SAMPLE_CHARS
+    model = langid.fit(sample)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, model).collect()}
+    assert sum(got[i] == y for i, _, y in rows[:200]) >= 198
+
+
 def test_toxicity_separates_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     out = QUERIES["op4_toxicity"](spark, SF001)
