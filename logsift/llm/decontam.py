@@ -108,40 +108,52 @@ def rolling(codes, size: int):
 
 
 def shared_items(codes, items: Items, coverage: float):
-    """(item number, document places) of the items whose seeds in the document could reach ``coverage``."""
+    """(item number, document places, seed size) of the items whose seeds in the document could reach ``coverage``.
+
+    The items are judged by the seeds that the document holds, each looked up once however often it occurs; the
+    places in the document are gathered only for an item that could reach the coverage."""
     import numpy as np
     for size, (keys, owner, at) in items.by_size.items():
         h = rolling(codes, size)
-        lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
-        hit = np.nonzero(hi > lo)[0]
-        if not len(hit):
+        seen = np.unique(h)
+        lo, hi = np.searchsorted(keys, seen, "left"), np.searchsorted(keys, seen, "right")
+        counts = hi - lo
+        if not counts.any():
             continue
-        counts = (hi - lo)[hit]
-        which = np.repeat(lo[hit], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        doc_at, own, item_at = np.repeat(hit, counts), owner[which], at[which]
-        for n in np.unique(own):
-            mine = own == n
+        which = np.repeat(lo, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        which = which[np.argsort(owner[which], kind="stable")]
+        own = owner[which]
+        first = np.nonzero(np.diff(own, prepend=-1))[0]
+        for a, b in zip(first, [*first[1:], len(own)]):
+            n = int(own[a])
+            # not more words than seeds x size: most items that share a common seed end here
+            if (b - a) * size < coverage * len(items.items[n]):
+                continue
             covered = np.zeros(len(items.items[n]), bool)
             for k in range(size):
-                covered[item_at[mine] + k] = True
+                covered[at[which[a:b]] + k] = True
             if covered.sum() >= coverage * len(covered):
-                yield int(n), np.unique(doc_at[mine]), size
+                yield n, np.nonzero(np.isin(h, keys[which[a:b]]))[0], size
 
 
 def tile_document(codes, items: Items, coverage: float):
     """(item number, words covered, tiles, first place) of every item covered enough."""
     import numpy as np
+    known: dict[tuple, tuple] = {}  # items of the same words have the same tiles
     for n, places, size in shared_items(codes, items, coverage):
-        # only words inside seeds can be in tiles: keep their runs, with a sign between runs that equals nothing
-        inside = np.unique((places[:, None] + np.arange(size)).ravel())
-        cuts = np.nonzero(np.diff(inside) > 1)[0] + 1
-        part: list[int] = []
-        for run in np.split(codes[inside], cuts):
-            part += [*map(int, run), -1]
-        tiles = greedy_tiles(part, items.items[n], size)
-        words = sum(k for _, _, k in tiles)
-        if words and words >= coverage * len(items.items[n]):
-            yield n, words, len(tiles), int(places[0])
+        item = tuple(items.items[n])
+        if item not in known:
+            # only words inside seeds can be in tiles: keep their runs, with a sign between runs that equals nothing
+            inside = np.unique((places[:, None] + np.arange(size)).ravel())
+            cuts = np.nonzero(np.diff(inside) > 1)[0] + 1
+            part: list[int] = []
+            for run in np.split(codes[inside], cuts):
+                part += [*map(int, run), -1]
+            tiles = greedy_tiles(part, items.items[n], size)
+            known[item] = (sum(k for _, _, k in tiles), len(tiles))
+        words, tiles = known[item]
+        if words and words >= coverage * len(item):
+            yield n, words, tiles, int(places[0])
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str):

@@ -1,9 +1,10 @@
 import random
 import re
+import time
 
 import numpy as np
 
-from logsift.llm.decontam import contaminated, greedy_tiles, keep_clean
+from logsift.llm.decontam import Items, contaminated, greedy_tiles, keep_clean, tile_document
 
 DOCS = "doc_id long, text string, item_id string, coverage int"
 
@@ -75,6 +76,28 @@ def test_pairs_equal_brute_force_with_reordered_passages(spark):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in docs if d not in {g[0] for g in got})
 
 
+def test_a_seed_shared_by_many_items_costs_little():
+    rng = random.Random(9)
+    common = ["in", "the", "middle", "of", "the"]
+    items = [(i, " ".join([f"a{rng.randrange(5000)}" for _ in range(9)] + common + [f"b{rng.randrange(5000)}" for _ in range(9)])) for i in range(2000)]
+    items.append((2000, items[7][1]))
+    block = Items(items, 4)
+    place = {w: i for i, w in enumerate(block.vocabulary)}
+    doc = []
+    while len(doc) < 20_000:
+        doc += common + [f"x{rng.randrange(50)}" for _ in range(rng.randint(0, 3))]
+    doc[9000:9000] = words(items[7][1])
+    codes = np.array([place.get(w, -1) for w in doc])
+    began = time.time()
+    got = sorted(tile_document(codes, block, 0.5))
+    assert time.time() - began < 5
+    assert [(n, k) for n, k, *_ in got] == [(7, 23), (2000, 23)]
+    near = doc[8990:9040]
+    for n in rng.sample(range(2000), 40) + [7]:
+        want = sum(k for *_, k in naive_tiles(near, words(items[n][1]), 4))
+        assert (want >= 0.5 * 23) == (n == 7)
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([], "item_id long, text string")
     assert contaminated(docs, bench).count() == 0
