@@ -30,17 +30,27 @@ MIN_RATIO = 10.0
 LEAST = 20
 #: About so many documents give the ordinary and random strings for training.
 SAMPLE_ROWS = 5000
+#: Matches of a text whose places are counted together.
+CHUNK = 256
 KINDS = ["assign", "access", "hex", "markov"]
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def pieces(array: Column) -> Column:
+    """An array in parts of CHUNK elements."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(array), F.lit(1)), F.lit(CHUNK)), lambda i: F.slice(array, i, F.lit(CHUNK)))
+
+
 def matches(text: Column, pattern: str, kind: str, value_group: int = 0) -> Column:
     """Leftmost non-overlapping matches as structs (start, rank, end, kind, value), in code points.
 
-    The text between matches and the matches themselves give the offsets.
+    The text between matches and the matches themselves give the offsets, in two levels: places within
+    parts of CHUNK matches, then the parts' own places, so that no array grows with the text match by match.
     """
-    gaps = F.split(text, pattern, -1)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
     span = "struct<start:int,rank:int,end:int,kind:string,value:string>"
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
 
@@ -51,11 +61,30 @@ def matches(text: Column, pattern: str, kind: str, value_group: int = 0) -> Colu
                        F.lit(kind).alias("kind"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    zipped = F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("gap"), hits.alias("hit"), values.alias("value"))
-    found = F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    def places(parts: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(parts, begin, lambda acc, p: F.struct((acc["at"] + p["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                           lambda acc: acc["out"])
+
+    def moved(part: Column, by: Column) -> Column:
+        return F.transform(part["out"], lambda x: F.struct((x["start"] + by).alias("start"), x["rank"], (x["end"] + by).alias("end"), x["kind"], x["value"]))
+
+    raw = F.struct(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
+                   F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)).alias("value"))
+    zipped = lambda r: F.arrays_zip(F.slice(r["gap"], 1, F.size(r["hit"])).alias("gap"), r["hit"].alias("hit"), r["value"].alias("value"))
+    parts = let(let(raw, zipped), lambda z: F.transform(pieces(z), lambda p: F.aggregate(p, start, step)))
+    found = let(parts, lambda ps: F.flatten(F.zip_with(ps, places(ps), moved)))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{span}>"))
 
 
+def untouched(spans: Column, others: Column) -> Column:
+    """``spans`` without those that overlap one of ``others`` (sorted by start); parts of these are looked into only where they reach."""
+    part = lambda p: F.struct(p.alias("own"), F.get(p, F.lit(0))["start"].alias("lo"), F.array_max(F.transform(p, lambda b: b["end"])).alias("hi"))
+    meets = lambda c, b: (b["start"] < c["end"]) & (c["start"] < b["end"])
+    near = lambda c, p: (p["lo"] < c["end"]) & (c["start"] < p["hi"]) & F.exists(p["own"], lambda b: meets(c, b))
+    return let(F.transform(pieces(others), part), lambda ps: F.filter(spans, lambda c: ~F.exists(ps, lambda p: F.coalesce(near(c, p), F.lit(False)))))
+
+
 def base_spans(text: Column) -> Column:
     """Spans of the fixed patterns, by start and then kind."""
     assign = F.filter(matches(text, ASSIGN, "assign", 2), lambda x: F.length(x["value"]) >= ASSIGN_VALUE)
@@ -121,8 +150,8 @@ def secret_spans(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", t
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     src = texts(docs, id_col, text_col).withColumn("base", base_spans(F.col("text")))
     src = src.withColumn("runs", matches(F.col("text"), RUN, "markov"))
-    added = F.filter("runs", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-                     & (likelihood_ratio(c["value"], table) >= min_ratio))
+    random = F.filter("runs", lambda c: likelihood_ratio(c["value"], table) >= min_ratio)
+    added = F.when(F.size("base") > 0, untouched(random, F.col("base"))).otherwise(random)
     return src.select("doc_id", "base", F.when(F.size("runs") > 0, added).otherwise(F.col("runs")).alias("added"))
 
 

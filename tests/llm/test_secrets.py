@@ -1,9 +1,13 @@
 import hashlib
+import json
 import random
 import re
 import string
+import time
 
-from logsift.llm.secrets import fit, ratio_table, secret_scan, secret_spans, training_strings
+from pyspark.sql import functions as F
+
+from logsift.llm.secrets import ALPHABET, fit, likelihood_ratio, ratio_table, secret_scan, secret_spans, training_strings
 
 SCHEMA = "doc_id long, text string, base string, runs int, value string"
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -68,5 +72,38 @@ def test_short_keys_and_keys_of_letters_are_scored(spark):
     assert got[200] == []
 
 
+def test_time_grows_with_the_matches_not_their_square(spark):
+    rng = random.Random(3)
+    run = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(22))
+    took = {}
+    for n in (2_000, 32_000, 64_000):
+        text = " ".join(run() + (" token=abcdef%d" % i if i % 3 == 0 else "") for i in range(n))
+        df = spark.createDataFrame([(1, text, "b", 1, "v")], SCHEMA)
+        began = time.time()
+        r = secret_scan(df, [0.0] * 68 * 68).first()
+        took[n] = time.time() - began
+        assert r.n_assign == -(-n // 3) and r.spans.count("assign") == r.n_assign
+    assert took[64_000] < 3 * took[32_000] + 2 and took[64_000] < 60, took
+
+
+def test_runs_that_touch_a_base_span_are_left_out(spark):
+    rng = random.Random(6)
+    parts = ["x" * 20, "token=abcdef", "y" * 18 + "token=" + "z" * 20, " ", "\n", "deadbeef" * 4, "-" * 16 + "AKIA" + "B" * 20, "word"]
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 900))), "b", 1, "v") for i in range(12)]
+    for r in secret_spans(spark.createDataFrame(rows, SCHEMA), [1.0] * 68 * 68, min_ratio=0.0).collect():
+        base = [(x.start, x.end) for x in r.base]
+        runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", rows[r.doc_id][1])]
+        assert [(x.start, x.end) for x in r.added] == [(a, b) for a, b in runs if not any(s < b and a < e for s, e in base)]
+
+
+def test_likelihood_ratio_equals_a_plain_sum(spark):
+    strings = [("".join(random.Random(i).choices(string.ascii_letters + string.digits, k=20)), i % 2 == 0) for i in range(60)]
+    ratios = ratio_table(spark.createDataFrame(strings, "s string, random boolean"))
+    table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
+    at = {c: i for i, c in enumerate(ALPHABET)}
+    for r in spark.createDataFrame(strings, "s string, random boolean").select("s", likelihood_ratio(F.col("s"), table).alias("v")).collect():
+        assert abs(r.v - sum(ratios[at[a] * len(ALPHABET) + at[b]] for a, b in zip(r.s, r.s[1:]))) < 1e-9
+
+
 def test_empty(spark):
     assert secret_scan(spark.createDataFrame([], SCHEMA)).count() == 0
