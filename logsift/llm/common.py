@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from logsift.session import checkpoint_dir
+from logsift.session import checkpoint_dir, scratch_path
 
 #: Salted sub-groups per key: a key that holds a third of all rows is spread over so many tasks.
 RUNS = 64
@@ -33,9 +33,9 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
-def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the two columns needed, under private names: other columns cannot clash with them."""
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
+def texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """Only the two columns needed, under private names (other columns cannot clash with them), and ``more``."""
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"), *more)
 
 
 def with_run(df: DataFrame, runs: int = RUNS) -> DataFrame:
@@ -54,8 +54,35 @@ def spread_join(base: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame
     return base.join(pairs.join(facts, keys), ["_run", *keys])
 
 
-def is_empty(df: DataFrame) -> bool:
-    return not df.take(1)
+#: Up to so many rows to drop are broadcast; more are dropped in a join.
+BROADCAST_ROWS = 2_000_000
+ROW_KEY = ["_file", "_at"]
+
+
+def in_files(docs: DataFrame) -> DataFrame:
+    """``docs`` if they are just a table read from files, else a written copy of them, read again: its rows have fixed places."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        return docs
+    path = scratch_path(docs.sparkSession, "rows")
+    docs.write.parquet(path)
+    return docs.sparkSession.read.schema(docs.schema).parquet(path)
+
+
+def row_key(files: DataFrame) -> list[Column]:
+    """Columns ROW_KEY of a table read from files: hash of the file's path, and the row's place in the file."""
+    place = files.metadataColumn("_metadata")
+    return [F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_at")]
+
+
+def drop_rows(files: DataFrame, losers: DataFrame) -> DataFrame:
+    """The rows of ``files`` (see ``in_files``) whose ROW_KEY is not in ``losers``, all columns unchanged.
+
+    Few losers are broadcast, so that no row moves; beyond a checked number both sides meet in a join."""
+    losers = checkpoint(losers.select(*ROW_KEY))
+    if losers.count() <= BROADCAST_ROWS:
+        losers = F.broadcast(losers)
+    rows = files.select(F.struct(*[F.col(f"`{c}`") for c in files.columns]).alias("_row"), *row_key(files))
+    return rows.join(losers, ROW_KEY, "left_anti").select("_row.*")
 
 
 def held_out(id_col: str) -> Column:

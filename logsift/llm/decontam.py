@@ -184,27 +184,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out if out is not None else spark.createDataFrame([], schema)
 
 
+def found_in(whole: pa.Array, items: Items, coverage: float, vocabulary: pa.Array):
+    """(row, item number, words covered, tiles, first place) for each text of an Arrow array, a bounded number of bytes at a time."""
+    import numpy as np
+    import pyarrow.compute as pc
+    whole = pc.fill_null(whole.cast(pa.string()), "")
+    sizes = pc.binary_length(whole).to_pylist()
+    for group in byte_groups(iter(enumerate(sizes)), lambda x: x[1], CHUNK_BYTES):
+        words = tokenise(whole.slice(group[0][0], len(group)))
+        flat = words.flatten()
+        codes = pc.fill_null(pc.index_in(flat, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
+        for i, (row, _) in enumerate(group):
+            own = slice(ends[i], ends[i + 1])
+            for hit in tile_document(codes[own][real[own]], items, coverage):
+                yield (row, *hit)
+
+
 def _scan(shared, coverage: float):
     def run(batches):
-        import numpy as np
-        import pyarrow.compute as pc
         items = shared.value
         vocabulary = pa.array(items.vocabulary, pa.string())
         for b in batches:
-            sizes = pc.binary_length(b.column(1)).to_pylist()
             rows = []
-            for group in byte_groups(iter(enumerate(sizes)), lambda x: x[1], CHUNK_BYTES):
-                part = b.slice(group[0][0], len(group))
-                words = tokenise(part.column(1))
-                flat = words.flatten()
-                codes = pc.fill_null(pc.index_in(flat, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-                real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
-                for i, (row, _) in enumerate(group):
-                    own = slice(ends[i], ends[i + 1])
-                    for n, k, tiles, first in tile_document(codes[own][real[own]], items, coverage):
-                        size = len(items.items[n])
-                        rows.append((row, items.ids[n], k, size, k / size, tiles, first))
+            for row, n, k, tiles, first in found_in(b.column(1), items, coverage, vocabulary):
+                size = len(items.items[n])
+                rows.append((row, items.ids[n], k, size, k / size, tiles, first))
             if rows:
                 row, *cols = zip(*rows)
                 kinds = [None, pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
@@ -213,10 +219,27 @@ def _scan(shared, coverage: float):
     return run
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no item contaminates, all columns unchanged.
+def _clean(shared, coverage: float, at: int):
+    def run(batches):
+        import numpy as np
+        items = shared.value
+        vocabulary = pa.array(items.vocabulary, pa.string())
+        for b in batches:
+            keep = np.ones(b.num_rows, bool)
+            for row, *_ in found_in(b.column(at), items, coverage, vocabulary):
+                keep[row] = False
+            yield b.filter(pa.array(keep))
+    return run
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+               least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
+    """The rows of ``docs`` that no item contaminates, all columns unchanged, each row judged by itself.
 
-    Rows that share an id go together.
-    """
-    bad = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_k_id")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("_k_id")), "left_anti")
+    The blocks of items filter one after another in one scan of the documents; no row moves."""
+    at, spark = docs.columns.index(text_col), docs.sparkSession
+    out = docs
+    for block in item_blocks(benchmark, item_id, item_text):
+        items = spark.sparkContext.broadcast(Items(block, least))  # at most BLOCK_CHARS characters, or one item
+        out = out.mapInArrow(_clean(items, coverage, at), docs.schema)
+    return out

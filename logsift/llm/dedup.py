@@ -14,9 +14,9 @@ each exchange and meets its result salted by run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from logsift.llm.common import RUNS, checkpoint, spread_join, texts, with_run
+from logsift.llm.common import ROW_KEY, RUNS, checkpoint, drop_rows, in_files, row_key, spread_join, texts, with_run
 
 #: Characters that do not count when texts are compared: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -24,12 +24,13 @@ BLANKS = " \t\n\x0b\x0c\r"
 KEYS = ["_digest", "_sha", "_bytes"]
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_chars of the whole text and the digest columns of the text without blanks."""
-    t = texts(docs, id_col, text_col)
-    t = t.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.translate("text", BLANKS, "").alias("norm"))
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """doc_id, n_chars of the whole text, the digest columns of the text without blanks, and ``more``."""
+    t = texts(docs, id_col, text_col, *more)
+    others = t.columns[2:]
+    t = t.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.translate("text", BLANKS, "").alias("norm"), *others)
     return t.select("doc_id", "n_chars", F.xxhash64("norm").alias("_digest"), F.unhex(F.sha2("norm", 256)).alias("_sha"),
-                    F.octet_length("norm").alias("_bytes"))
+                    F.octet_length("norm").alias("_bytes"), *others)
 
 
 def merge_runs(run_rows: DataFrame, fan_in: int) -> DataFrame:
@@ -38,16 +39,9 @@ def merge_runs(run_rows: DataFrame, fan_in: int) -> DataFrame:
             .agg(F.min("_best").alias("_best"), F.sum("_size").alias("_size")))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS,
-                fan_in: int = 4) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, n_chars.
-
-    The row with the most code points stays, then the smallest doc_id (a null id
-    comes last); of fully equal rows exactly one stays.  A null text counts as
-    empty, and all texts of blanks only are one group.  Other columns are not
-    looked at.  An empty table gives an empty result.
-    """
-    base = checkpoint(with_run(digests(docs, id_col, text_col), runs))
+def grouped(rows: DataFrame, runs: int, fan_in: int) -> DataFrame:
+    """``rows`` (see ``digests``) with keep_id, group_size and kept."""
+    base = checkpoint(with_run(rows, runs))
     best = F.struct((-F.col("n_chars")).alias("neg"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "_rid")
     level = base.groupBy("_run", *KEYS).agg(F.min(best).alias("_best"), F.count(F.lit(1)).alias("_size"))
     left = runs
@@ -56,21 +50,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         left = -(-left // fan_in)
     facts = level.select(*KEYS, F.col("_best.doc_id").alias("keep_id"), F.col("_best._rid").alias("_keep_rid"),
                          F.col("_size").alias("group_size"))
-    return spread_join(base, facts, KEYS).select(
-        "doc_id", "keep_id", "group_size", (F.col("_rid") == F.col("_keep_rid")).alias("kept"),
-        F.lower(F.hex("_sha")).alias("text_sha256"), "n_chars")
+    return spread_join(base, facts, KEYS).withColumn("kept", F.col("_rid") == F.col("_keep_rid"))
 
 
-def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS,
+                fan_in: int = 4) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, n_chars.
 
-    A row stays if its id, length and text without blanks are those of its group's
-    kept row; of rows that agree in all three, one stays.
+    The row with the most code points stays, then the smallest doc_id (a null id
+    comes last); of fully equal rows exactly one stays.  A null text counts as
+    empty, and all texts of blanks only are one group.  Other columns are not
+    looked at.  An empty table gives an empty result.
     """
-    kept = (exact_dedup(docs, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("_k_id"), F.col("n_chars").alias("_k_chars"), F.unhex("text_sha256").alias("_k_sha")))
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"),
-                       F.length(text).cast("long").alias("_chars"), F.unhex(F.sha2(F.translate(text, BLANKS, ""), 256)).alias("_sha"))
-    same = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_chars") == F.col("_k_chars")) & (F.col("_sha") == F.col("_k_sha"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_chars", "_sha"]).select("_row.*")
+    return grouped(digests(docs, id_col, text_col), runs, fan_in).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("_sha")).alias("text_sha256"), "n_chars")
+
+
+def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS, fan_in: int = 4) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, all columns unchanged, each row judged by itself."""
+    files = in_files(docs)
+    rows = grouped(digests(files, id_col, text_col, *row_key(files)), runs, fan_in)
+    return drop_rows(files, rows.where(~F.col("kept")).select(*ROW_KEY))

@@ -134,6 +134,23 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return label_sample(free, id_col, text_col, lang_col, SAMPLE_ROWS, SAMPLE_CHARS)
 
 
+def predictions(whole: pa.Array, model: LanguageModel) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and whether the text is rejected, for each text of an Arrow array."""
+    import numpy as np
+    table, bias = np.frombuffer(model.table, np.float32).reshape(BUCKETS, -1), np.array(model.bias)
+    lang, score = [], []
+    for t in whole:
+        t = t.as_py()
+        if t is None or not model.langs or not has_letter(t):
+            lang.append(REJECTED)
+            score.append(0.0)
+            continue
+        p = softmax(logits_of(t, table, bias))
+        lang.append(model.langs[int(p.argmax())])
+        score.append(float(p.max()))
+    return lang, score, [y == REJECTED or s < model.reject_below for y, s in zip(lang, score)]
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected, one row per input row.
 
@@ -144,21 +161,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches):
-        import numpy as np
-        table = np.frombuffer(model.table, np.float32).reshape(BUCKETS, -1)
-        bias = np.array(model.bias)
         for b in batches:
-            lang, score = [], []
-            for t in b.column(1):
-                t = t.as_py()
-                if t is None or not model.langs or not has_letter(t):
-                    lang.append(REJECTED)
-                    score.append(0.0)
-                    continue
-                p = softmax(logits_of(t, table, bias))
-                lang.append(model.langs[int(p.argmax())])
-                score.append(float(p.max()))
-            bad = [y == REJECTED or s < model.reject_below for y, s in zip(lang, score)]
+            lang, score, bad = predictions(b.column(1), model)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                                               pa.array(bad, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])
 
@@ -167,10 +171,12 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return out.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-def keep_known_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not rejected, all columns unchanged.
+def keep_known_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, all columns unchanged, each row judged by itself; no row moves."""
+    at = docs.columns.index(text_col)
 
-    Rows that share an id stay if one of them is not rejected.
-    """
-    good = identify(docs, model, id_col, text_col).where(~F.col("rejected")).select(F.col("doc_id").alias("_k_id")).distinct()
-    return docs.join(good, F.col(f"`{id_col}`").eqNullSafe(F.col("_k_id")), "left_semi")
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array([not x for x in predictions(b.column(at).cast(pa.string()), model)[2]], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ from itertools import combinations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logsift.llm.common import checkpoint, spread_join, texts, with_run
+from logsift.llm.common import ROW_KEY, RUNS, checkpoint, drop_rows, in_files, row_key, spread_join, texts, with_run
 from logsift.llm.components import connected_components
 
 BYTES = 8
@@ -44,18 +44,20 @@ def fingerprint_int(text: str, words: int = 3) -> int:
     return int(np.packbits((2 * ones > n).astype(np.uint8)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a long) of every whole text."""
-    src = texts(docs, id_col, text_col)
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, *more: Column) -> DataFrame:
+    """doc_id and ``fp`` (the 64 bits as a long) of every whole text, and ``more`` (long columns)."""
+    src = texts(docs, id_col, text_col, *more)
+    others = src.columns[2:]
 
     def run(batches):
         import numpy as np
         for b in batches:
             fps = [fingerprint_int(t.as_py(), words) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64), type=pa.int64())], ["doc_id", "fp"])
+                [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64), type=pa.int64()), *b.columns[2:]], ["doc_id", "fp", *others])
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    kinds = "".join(f", {c} long" for c in others)
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long{kinds}")
 
 
 def position_sets() -> list[tuple[int, ...]]:
@@ -92,6 +94,20 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = 3) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
+def grouped(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows`` (see ``fingerprints``) with component_id, and whether the row is ``kept``: the component's first by id (nulls last)."""
+    base = checkpoint(with_run(rows))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_rid")
+    nodes = checkpoint(base.groupBy("fp").agg(F.min(first).alias("low")))
+    roots = connected_components(fingerprint_links(nodes, max_bits))
+    nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    lows = nodes.groupBy("root").agg(F.min("low").alias("best"))
+    # a root of many fingerprints is met salted
+    salted = nodes.select("fp", "root", F.pmod(F.xxhash64("fp"), F.lit(RUNS)).cast("int").alias("_run"))
+    facts = spread_join(salted, lows, ["root"]).select("fp", F.col("best.doc_id").alias("component_id"), F.col("best._rid").alias("_keep_rid"))
+    return spread_join(base, facts, ["fp"]).withColumn("kept", F.col("_rid") == F.col("_keep_rid"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                    max_bits: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), one row per input row.
@@ -100,22 +116,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are linked like any other.  Null ids are no component's id unless all its ids
     are null.  Repeated rows give repeated results; an empty table an empty one.
     """
-    base = checkpoint(with_run(fingerprints(docs, id_col, text_col, words)))
-    nodes = checkpoint(base.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = connected_components(fingerprint_links(nodes, max_bits))
-    nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    facts = nodes.select("fp", "root").join(lows, "root").select("fp", "component_id")
-    return spread_join(base, facts, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                                   "component_id")
+    return grouped(fingerprints(docs, id_col, text_col, words), max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                        max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's id, all columns unchanged.
-
-    Rows that share an id are one document here: they stay or go together.
-    """
-    keep = (simhash_groups(docs, id_col, text_col, words, max_bits).groupBy("component_id").agg(F.lit(1).alias("one"))
-            .select(F.col("component_id").alias("_k_id")))
-    return docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_k_id")), "left_semi")
+    """Of each component the row with the smallest id (of several, one), all columns unchanged, each row judged by itself."""
+    files = in_files(docs)
+    rows = grouped(fingerprints(files, id_col, text_col, words, *row_key(files)), max_bits)
+    return drop_rows(files, rows.where(~F.col("kept")).select(*ROW_KEY))

@@ -104,3 +104,47 @@ def test_pipeline_equals_its_parts_in_brute_force(spark, tmp_path):
     tok = Tokenizer.from_str(tokenizer_file("word_bpe_49k.json").decode())
     assert 9001 in bad and 9002 not in left
     assert got == {d: len(tok.encode(t, add_special_tokens=False).ids) for d, t in rows if d not in bad}
+
+
+def _documents(spark, path, rows, extra=""):
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long" + extra).write.parquet(str(path / "documents.parquet"))
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string").write.parquet(str(path / "benchmark.parquet"))
+
+
+def test_pipeline_judges_rows_that_share_an_id_one_by_one(spark, tmp_path):
+    rng = random.Random(7)
+    say = lambda: " ".join(rng.choice(["the", "and", "with", "house", "going", "there", "thought", "water", "stone"]) + str(rng.randrange(99)) for _ in range(60))
+    rows = [(i, say(), "en", "s", 1) for i in range(100, 160)]
+    good, leak = say(), f"see one two three four five six seven eight nine ten {say()}"
+    near = good.upper()  # another text with the same fingerprint
+    rows += [(7, good, "en", "s", 1), (7, "12 ?! 34", "en", "s", 1), (7, leak, "en", "s", 1), (8, good, "en", "s", 1), (8, good, "en", "s", 1), (None, say(), None, None, None),
+             (9, near, "en", "s", 1), (7, None, "en", "s", 1), (11, "", "en", "s", 1)]
+    _documents(spark, tmp_path, [(*r, "clash", 1) for r in rows], ", _row string, _at int")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = sorted((str(r.doc_id) for r in out))
+    assert ids.count("7") == 1 and ids.count("8") == 0 and ids.count("9") == 0 and ids.count("None") == 1 and ids.count("11") == 0
+    assert len(out) == 62 and {r.n_tokens > 60 for r in out} == {True}
+
+
+def test_pipeline_stages_keep_columns_and_take_empty_tables(spark, tmp_path):
+    _documents(spark, tmp_path, [])
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_scores_equal_a_plain_computation(spark):
+    import math
+    import numpy as np
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(40)
+    model = langid.fit(langid.training_sample(spark.read.parquet(f"{SF001}/documents.parquet")), epochs=1)
+    table = np.frombuffer(model.table, np.float32).reshape(langid.BUCKETS, -1)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    for r in docs.collect():
+        if not r.text or not any(c.isalpha() for c in r.text):
+            continue
+        grams = langid.gram_hashes(r.text).tolist()
+        z = [sum(float(table[g][k]) for g in grams) / len(grams) + model.bias[k] for k in range(len(model.langs))]
+        p = [math.exp(x - max(z)) for x in z]
+        assert got[r.doc_id][0] == model.langs[z.index(max(z))] and abs(got[r.doc_id][1] - max(p) / sum(p)) < 1e-4
