@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and a character BiLSTM with CRF transitions.
 
-The network is trained in numpy from labelled spans (the patterns' own finds in a
-bounded sample).  Texts are read in overlapping windows; each is decoded by
+The network is trained in numpy from labelled spans: the patterns' own finds in a
+bounded sample, and the same finds written in ways that the patterns miss (blanks or commas inside an address, other
+separators in numbers), as a network taught by the patterns' finds alone could only repeat them.  Texts are read in overlapping windows; each is decoded by
 Viterbi, and the windows are reconciled over the whole text: a character takes
 its tag from the window in which it stands farthest from an edge.  All labelled
 kinds hold a digit or an @, so windows without either are not run.
@@ -153,17 +154,23 @@ def logsum(x, axis):
     return np.squeeze(m, axis) + np.log(np.exp(x - m).sum(axis=axis))
 
 
-def crf_gradient(em, trans, y):
-    """Mean loss, and its gradients by emissions and transitions (forward-backward)."""
+def forward_backward(em, trans):
+    """Log weights of all beginnings and of all endings at each step and tag, and of all paths."""
     import numpy as np
-    steps, n, k = em.shape
     alpha, beta = np.empty_like(em), np.zeros_like(em)
     alpha[0] = em[0]
-    for s in range(1, steps):
+    for s in range(1, len(em)):
         alpha[s] = em[s] + logsum(alpha[s - 1][:, :, None] + trans, 1)
-    for s in range(steps - 2, -1, -1):
+    for s in range(len(em) - 2, -1, -1):
         beta[s] = logsum(trans + (em[s + 1] + beta[s + 1])[:, None, :], 2)
-    z = logsum(alpha[-1], 1)
+    return alpha, beta, logsum(alpha[-1], 1)
+
+
+def crf_gradient(em, trans, y):
+    """Mean loss, and its gradients by emissions and transitions (forward-backward)."""
+    import numpy as np
+    steps, n, _ = em.shape
+    alpha, beta, z = forward_backward(em, trans)
     d_em = np.exp(alpha + beta - z[None, :, None])
     d_tr = np.zeros_like(trans)
     rows = np.arange(n)
@@ -178,14 +185,63 @@ def crf_gradient(em, trans, y):
     return (z - gold).mean(), d_em / n, d_tr / n
 
 
-def fit(sample: list[str], steps: int = 350, batch: int = 48, seed: int = 5) -> PiiModel:
-    """Train on windows of the sample's texts: those with spans, and as many others that hold a digit or an @."""
+def rewritten(t: str, spans: list[tuple[int, int, int]], rng) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text with each span written in a way that the patterns miss, and the spans' new places."""
+    pick = lambda *xs: xs[rng.integers(len(xs))]
+    out, places, at = [], [], 0
+    for kind, a, b in sorted(spans, key=lambda x: x[1]):
+        if a < at:
+            continue
+        s = t[a:b]
+        if KINDS[kind] == "email":
+            s = s.replace("@", pick(" @ ", "@ ", " @")).replace(".", pick(".", " . "))
+        elif KINDS[kind] == "ip":
+            s = s.replace(".", pick(" . ", ",", ", ", "-", ":"))
+        elif KINDS[kind] == "card":
+            digits = s.replace(" ", "").replace("-", "")
+            s = pick(".", "/", "  ", " - ").join(digits[i:i + 4] for i in range(0, len(digits), 4))
+        else:
+            s = pick("00", "(00) ", "(+", "+ ") + s[1:].replace(" ", pick(" ", "/", " / ", "."), 1 + int(rng.integers(3)))
+        out += [t[at:a], s]
+        n = sum(map(len, out))
+        places.append((kind, n - len(s), n))
+        at = b
+    return "".join([*out, t[at:]]), places
+
+
+def examples(sample: list[str], rng):
+    """(text, labelled spans): each text with the patterns' finds, and once more with the finds rewritten."""
+    for t in sample:
+        spans = base_spans(t)
+        yield t, spans
+        if spans:
+            new, places = rewritten(t, spans, rng)
+            yield new, places + [x for x in base_spans(new) if not any(x[1] < e and s < x[2] for _, s, e in places)]
+
+
+def gradients(p, x, y):
+    """Loss of a batch (steps, batch), and its gradient by every parameter."""
+    import numpy as np
+    h, kept = HIDDEN, ([], [])
+    em, both = emissions(p, x, kept)
+    loss, d_em, d_tr = crf_gradient(em, p["tr"], y)
+    g = {k: np.zeros_like(a) for k, a in p.items()}
+    g["tr"] = d_tr
+    g["ow"], g["ob"] = np.tensordot(both, d_em, ((0, 1), (0, 1))), d_em.sum(axis=(0, 1))
+    d = d_em @ p["ow"].T
+    lstm_back(x, p["fh"], kept[0], d[:, :, :h], g, ("fx", "fh", "fb"))
+    lstm_back(x[::-1], p["bh"], kept[1], d[::-1, :, h:], g, ("bx", "bh", "bb"))
+    return loss, g
+
+
+def fit(sample: list[str], steps: int = 700, batch: int = 48, seed: int = 5) -> PiiModel:
+    """Train on windows of the examples: those with spans, and as many others that hold a digit or an @."""
     import numpy as np
     rng = np.random.default_rng(seed)
     data = {True: [], False: []}
-    for t in sample:
+    for t, spans in examples(sample, rng):
         x, y = classes(t), np.zeros(len(t), np.int64)
-        for kind, a, b in base_spans(t):
+        for kind, a, b in spans:
             y[a], y[a + 1:b] = 1 + 2 * kind, 2 + 2 * kind
         for at in grid(x):
             pad = max(0, at + WINDOW - len(x))
@@ -204,15 +260,7 @@ def fit(sample: list[str], steps: int = 350, batch: int = 48, seed: int = 5) ->
     for step in range(1, steps + 1 if picked else 1):
         some = [picked[i] for i in rng.integers(0, len(picked), batch)]
         x, y = np.array([a for a, _ in some]).T, np.array([b for _, b in some]).T
-        kept = ([], [])
-        em, both = emissions(p, x, kept)
-        _, d_em, d_tr = crf_gradient(em, p["tr"], y)
-        g = {k: np.zeros(s, np.float32) for k, s in shapes.items()}
-        g["tr"] = d_tr
-        g["ow"], g["ob"] = np.tensordot(both, d_em, ((0, 1), (0, 1))), d_em.sum(axis=(0, 1))
-        d = d_em @ p["ow"].T
-        lstm_back(x, p["fh"], kept[0], d[:, :, :h], g, ("fx", "fh", "fb"))
-        lstm_back(x[::-1], p["bh"], kept[1], d[::-1, :, h:], g, ("bx", "bh", "bb"))
+        _, g = gradients(p, x, y)
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
@@ -272,8 +320,12 @@ def network_spans(whole: list[str], model: PiiModel, at_once: int = 512) -> list
             x[r, :len(part)] = part
         em, _ = emissions(p, x.T)
         best = viterbi(em, p["tr"])
-        e = np.exp(em - em.max(axis=2, keepdims=True))
-        conf = np.take_along_axis(e, best[:, :, None].astype(np.int64), 2)[:, :, 0] / e.sum(axis=2)
+        conf = np.ones(best.shape, np.float32)
+        found = np.nonzero(best.any(axis=0))[0]
+        if len(found):  # the probability of each tag over all paths
+            alpha, beta, z = forward_backward(em[:, found], p["tr"])
+            sure = np.exp(alpha + beta - z[None, :, None])
+            conf[:, found] = np.take_along_axis(sure, best[:, found][:, :, None].astype(np.int64), 2)[:, :, 0]
         for r, (n, a) in enumerate(some):
             if best[:, r].any() or n in tags:
                 if n not in tags:
