@@ -93,5 +93,7 @@ def is_ascii(c) -> Column:
 
 
 def register_functions(spark) -> None:
-    """Expose NFKD to SQL (the rest are built-ins already)."""
+    """Expose ``nfkd`` and ``standardise_text`` (H3, H5) to SQL, the latter as a SQL function over the built-ins."""
     spark.udf.register("nfkd", _nfkd_udf)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION standardise_text(t STRING) RETURNS STRING RETURN
+                  trim(regexp_replace(regexp_replace(nfkd(t), r'{CONTROL_CLASS}', ''), r'{WS_CLASS}+', ' '))""")

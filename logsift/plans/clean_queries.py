@@ -362,6 +362,21 @@ def q_clean_summary(spark, sf):
     return cleaned(spark, sf).summary
 
 
+_cut_chain, _cut_last = CS.missing_chain("dup_logs", LOG_PRESENT)
+
+
+@query("clean_cut", with_views(f"""
+SELECT 'text_cut' AS metric, count(*) FILTER (WHERE length(whole) > 10000) AS value FROM cut
+UNION ALL
+SELECT 'duplicates_removed', (SELECT count(*) FROM cut) - count(*)
+FROM (SELECT DISTINCT date_trunc('second', "timestamp"), pod_name, short FROM cut) d""", "dup_logs", more=_cut_chain + f""",
+cut AS (SELECT *, {CS.text_clean_sql('message')} AS whole, {CS.text_clean_sql('message', 10000)} AS short FROM {_cut_last})"""))
+def q_clean_cut(spark, sf):
+    """H4: messages cut to an explicit length, the values cut, and the duplicates that this makes."""
+    s = C.clean(dup_logs(spark, sf), "log_id", K8S_LOG, max_length=10000).summary
+    return s.where(F.col("metric").isin("text_cut", "duplicates_removed"))
+
+
 @query("quality_gates", with_views(f"""
 SELECT gate, round(v, 2) AS value, threshold,
        CASE WHEN (op = '>=' AND v >= threshold) OR (op = '<=' AND v <= threshold) THEN 'pass' ELSE 'warn' END

@@ -9,7 +9,7 @@ WS_RE2 = r"[\t\n\x0B\f\r \x{1c}-\x{1f}\x{85}\p{Z}]+"
 CTRL_RE2 = r"[\x00-\x08\x0B-\x1F\x7F-\x9F\p{Cf}\p{Co}]"
 
 
-def text_clean_sql(expr: str, n: int | None = 10000) -> str:
+def text_clean_sql(expr: str, n: int | None = None) -> str:
     if n is None:
         return (f"trim(regexp_replace(regexp_replace({expr}, '{CTRL_RE2}', '', 'g'), "
                 f"'{WS_RE2}', ' ', 'g'))")

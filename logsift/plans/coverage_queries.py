@@ -50,18 +50,16 @@ def q_csv_fallback(spark, sf):
 
 
 @query("records_documents", """
-SELECT l_orderkey AS orderkey, CAST(l_linenumber AS BIGINT) AS linenumber, l_quantity AS quantity
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS rn FROM lineitem) l
-WHERE l_orderkey % 4 <> 0 OR rn = 1""")
+SELECT l_orderkey AS orderkey, CAST(l_linenumber AS BIGINT) AS linenumber, l_quantity AS quantity FROM lineitem""")
 def q_records_documents(spark, sf):
-    """A3 + A4: documents of four shapes (object, two wrappers, array), one per order, read by one call;
-    a path that is not there adds no rows."""
+    """A3 + A4: documents of four shapes, one per order (an object for an order of one line; two wrappers; an array), read by
+    one call; a path that is not there adds no rows."""
     schema = T._parse_datatype_string("orderkey bigint, linenumber bigint, quantity double")
     rec = F.struct(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").cast("long").alias("linenumber"),
                    F.col("l_quantity").alias("quantity"))
     docs = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(rec)).alias("r"))
     shape = F.col("l_orderkey") % 4
-    doc = (F.when(shape == 0, F.to_json(F.col("r")[0])).when(shape == 1, F.to_json(F.struct(F.col("r").alias("anomalies"))))
+    doc = (F.when(F.size("r") == 1, F.to_json(F.col("r")[0])).when(shape == 1, F.to_json(F.struct(F.col("r").alias("anomalies"))))
            .when(shape == 2, F.to_json(F.struct(F.col("r").alias("alerts")))).otherwise(F.to_json("r")))
     path = scratch_path(spark, "documents")
     docs.select(doc.alias("value")).write.text(path)
@@ -134,16 +132,16 @@ def q_with_bounds(spark, sf):
 
 
 @query("join_null_keys", """
-WITH n AS (SELECT n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_regionkey END AS regionkey, n_name AS name FROM nation),
-r AS (SELECT CASE WHEN r_regionkey = 0 THEN NULL ELSE r_regionkey END AS regionkey, r_name AS name FROM region)
-SELECT n_nationkey, n.regionkey, n.name AS name_x, r.name AS name_y FROM n JOIN r ON n.regionkey IS NOT DISTINCT FROM r.regionkey""")
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS custkey, o_orderpriority AS name FROM orders),
+c AS (SELECT CASE WHEN c_custkey % 500 = 0 THEN NULL ELSE c_custkey END AS custkey, c_name AS name FROM customer)
+SELECT o_orderkey, o.custkey, o.name AS name_x, c.name AS name_y FROM o JOIN c ON o.custkey IS NOT DISTINCT FROM c.custkey""")
 def q_join_null_keys(spark, sf):
-    """Missing keys match each other, overlapping columns get suffixes."""
-    n = table(spark, sf, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 5 != 0, F.col("n_regionkey")).alias("regionkey"),
-                                          F.col("n_name").alias("name"))
-    r = table(spark, sf, "region").select(F.when(F.col("r_regionkey") != 0, F.col("r_regionkey")).alias("regionkey"),
-                                          F.col("r_name").alias("name"))
-    return L.join_metrics(n, r, ["regionkey"])
+    """Missing keys match each other, overlapping columns get suffixes; a third of the orders have no
+    key, and this hot key is split (at 1,000 rows here)."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("custkey"),
+                                          F.col("o_orderpriority").alias("name"))
+    c = table(spark, sf, "customer").select(F.when(F.col("c_custkey") % 500 != 0, F.col("c_custkey")).alias("custkey"), F.col("c_name").alias("name"))
+    return L.join_metrics(o, c, ["custkey"], hot_rows=1000)
 
 
 @query("sample_orders", """
@@ -155,6 +153,16 @@ def q_sample_orders(spark, sf):
 
 # --- text ----------------------------------------------------------------------------------
 
+@query("sql_functions", f"""
+SELECT doc_id, strip_accents(text) AS text_plain, {CS.text_clean_sql('strip_accents(text)')} AS clean_plain FROM documents""")
+def q_sql_functions(spark, sf):
+    """2.12: the registered functions in a SQL query, marks taken off."""
+    TX.register_functions(spark)
+    table(spark, sf, "documents").createOrReplaceTempView("documents_for_sql")
+    return spark.sql(r"""SELECT doc_id, regexp_replace(nfkd(text), '\\p{Mn}', '') AS text_plain,
+                                regexp_replace(standardise_text(text), '\\p{Mn}', '') AS clean_plain FROM documents_for_sql""")
+
+
 @query("nfkd_plain", "SELECT doc_id, strip_accents(text) AS text_plain FROM documents")
 def q_nfkd_plain(spark, sf):
     """H3: NFKD with the marks taken off."""
@@ -170,13 +178,28 @@ def q_standardise_plain(spark, sf):
 
 # --- validation ---------------------------------------------------------------------------
 
-@query("validate_missing_column", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS field, 'missing_column' AS rule, CAST(NULL AS BIGINT) AS invalid_count, CAST(NULL AS VARCHAR) AS sample, "
-    f"'Required field ''{c}'' is missing from data' AS message" for c in ("node_name", "service")))
+_ABSENT = ("node_name", "service")
+
+
+def _missing_column_sql() -> str:
+    parts = [f"SELECT '{c}' AS field, 'missing_column' AS rule, CAST(NULL AS BIGINT) AS invalid_count, "
+             f"'Required field ''{c}'' is missing from data' AS message" for c in _ABSENT]
+    for r in K8S_LOG:
+        for rule, bound, sign, side in (("below_min", r.min, "<", "below minimum"), ("above_max", r.max, ">", "above maximum")):
+            if r.numeric and bound is not None:
+                shown = repr(float(bound)) if isinstance(bound, float) else repr(bound)
+                parts.append(f"SELECT '{r.name}', '{rule}', count(*), 'Field ''{r.name}'': ' || count(*) || ' values {side} {shown}' "
+                             f"FROM logs WHERE {r.name} {sign} {bound} HAVING count(*) > 0")
+    return with_views("\nUNION ALL\n".join(parts), "logs")
+
+
+@query("validate_missing_column", _missing_column_sql())
 def q_validate_missing_column(spark, sf):
-    """Required columns that the data does not have."""
-    errors = V.validate(logs(spark, sf).drop("node_name", "service"), K8S_LOG, pos_col="log_id")
-    return errors.where(F.col("rule") == "missing_column")
+    """J1 + J3: a file that lacks required columns: these, and the counts of the bounds that its other columns break."""
+    path = scratch_path(spark, "lacking") + ".parquet"
+    IO.write_table(logs(spark, sf).drop(*_ABSENT), path)
+    errors = V.validate(IO.read_table(spark, path), K8S_LOG, pos_col="log_id")
+    return errors.where(F.col("rule").isin("missing_column", "below_min", "above_max")).select("field", "rule", "invalid_count", "message")
 
 
 @query("row_errors_types", with_views("""

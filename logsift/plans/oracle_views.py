@@ -28,12 +28,14 @@ FROM events
 """
 
 DUP_LOGS_SQL = f"""
-SELECT * REPLACE (log_id * 4 AS log_id) FROM ({LOGS_SQL}) b0
+SELECT * REPLACE (log_id * 4 AS log_id, CASE WHEN log_id % 100 = 37 THEN message || repeat('x', 10000) || ' one' ELSE message END AS message) FROM ({LOGS_SQL}) b0
 UNION ALL
 SELECT * REPLACE (log_id * 4 + 1 AS log_id, date_trunc('second', "timestamp") AS "timestamp")
 FROM ({LOGS_SQL}) b1 WHERE log_id % 10 = 0
 UNION ALL
 SELECT * REPLACE (log_id * 4 + 2 AS log_id) FROM ({LOGS_SQL}) b2 WHERE log_id % 25 = 0
+UNION ALL
+SELECT * REPLACE (log_id * 4 + 3 AS log_id, message || repeat('x', 10000) || ' two' AS message) FROM ({LOGS_SQL}) b3 WHERE log_id % 100 = 37
 """
 
 ANOMALIES_SQL = f"""

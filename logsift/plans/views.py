@@ -58,15 +58,20 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dup_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """logs plus re-emitted copies: every 10th event again within the same
-    second (timestamp truncated), every 25th event again exactly.  Ingest
-    position ``log_id`` = 4*event_id (+1 near copy, +2 exact copy)."""
+    second (timestamp truncated), every 25th event again exactly.  One event in a hundred has a message of
+    over 10,000 characters, and comes again with one that differs only after them.  Ingest
+    position ``log_id`` = 4*event_id (+1 near copy, +2 exact copy, +3 the other long message)."""
     base = logs(spark, sf_dir)
-    orig = base.withColumn("log_id", F.col("log_id") * 4)
+    is_long, filler = F.col("log_id") % 100 == 37, F.repeat(F.lit("x"), 10000)
+    orig = (base.withColumn("message", F.when(is_long, F.concat("message", filler, F.lit(" one"))).otherwise(F.col("message")))
+            .withColumn("log_id", F.col("log_id") * 4))
+    other = (base.where(is_long).withColumn("message", F.concat("message", filler, F.lit(" two")))
+             .withColumn("log_id", F.col("log_id") * 4 + 3))
     near = (base.where(F.col("log_id") % 10 == 0)
             .withColumn("timestamp", F.date_trunc("second", "timestamp"))
             .withColumn("log_id", F.col("log_id") * 4 + 1))
     exact = base.where(F.col("log_id") % 25 == 0).withColumn("log_id", F.col("log_id") * 4 + 2)
-    return orig.unionByName(near).unionByName(exact)
+    return orig.unionByName(near).unionByName(exact).unionByName(other)
 
 
 def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
