@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from logsift.llm.common import texts
 
 BLOCK_BYTES = 40 << 20
+MOST_PARTS = 20_000
 HEAD_WORDS = 1 << 16
 HEAD_WORD_BYTES = 48
 #: Chunks of more than one word, or not in lower case, that a task remembers.
@@ -184,6 +185,8 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
     spark = src.sparkSession
     total = src.agg(F.sum(F.octet_length("text").cast("long")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     blocks = max(1, -(-(total["b"] or 0) // block_bytes))
+    # more partitions than blocks: hardly a task gets two of them, however large the input
+    parts = min(3 * blocks, MOST_PARTS)
     pieces = pieces_of(tokenizer_json)
     kind = id_kind(pieces)
     head = head_words(src, total["n"])
@@ -201,7 +204,7 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
 
     # the texts travel once, compressed; both uses below read the same exchange
     dealt = (src.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text")
-             .mapInArrow(pack, f"block long, doc_id {id_type}, packed binary").repartition("block"))
+             .mapInArrow(pack, f"block long, doc_id {id_type}, packed binary").repartition(parts, "block"))
 
     def unpack(t: pa.Table):
         import zstandard
@@ -230,7 +233,7 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
         give_back()
 
     listed = dealt.groupBy("block").applyInArrow(list_words, "block long, at int, word binary")
-    encoded = (listed.repartition("word").sortWithinPartitions("word")
+    encoded = (listed.repartition(parts, "word").sortWithinPartitions("word")
                .mapInArrow(encode_sorted, "block long, at int, ids binary"))
     full = output == "full"
 
