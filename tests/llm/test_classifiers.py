@@ -106,6 +106,33 @@ def test_pipeline_equals_its_parts_in_brute_force(spark, tmp_path):
     assert got == {d: len(tok.encode(t, add_special_tokens=False).ids) for d, t in rows if d not in bad}
 
 
+def test_toxicity_learns_phrases_of_ordinary_words():
+    rng = random.Random(8)
+    vocab = ["".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(3, 8))) for _ in range(64)]
+    phrase = " ".join(rng.choice(vocab) for _ in range(3))
+    made = []
+    for i in range(2600):
+        w, bad = [rng.choice(vocab) for _ in range(60)], rng.random() < 1 / 3
+        for _ in range(3 * bad):
+            w.insert(rng.randrange(len(w)), phrase)
+        made.append((" ".join(w), int(bad)))
+    model = toxicity.fit(made[:2000])
+    gains_of = toxicity.window_scorer(model)
+    got = [(toxicity.score(model, toxicity.features(gains_of(t), model.gains)) >= 0.3, y) for t, y in made[2000:]]
+    hits = sum(p and y for p, y in got)
+    assert hits >= 0.9 * sum(y for _, y in got) and hits >= 0.8 * sum(p for p, _ in got)
+
+
+def test_a_passage_gain_is_the_difference_of_two_compressed_lengths():
+    import zstandard
+    model = toxicity.fit([("a bad thing was said " * 9 + str(i), 1) for i in range(40)] + [("the good thing was done " * 9 + str(i), 0) for i in range(40)])
+    words = "a bad thing was said by the good".split()
+    assert toxicity.passages(words) == [b" a bad thing was said by ", b" was said by the good "] and toxicity.passages([]) == []
+    got = toxicity.passage_scorer(model)(words)
+    assert len(got) == 2 and got[0] > 0
+    assert zstandard.ZstdCompressionDict(model.toxic_passages).as_bytes() == model.toxic_passages
+
+
 def _documents(spark, path, rows, extra=""):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long" + extra).write.parquet(str(path / "documents.parquet"))
     spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string").write.parquet(str(path / "benchmark.parquet"))
