@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logsift.llm.common import CHUNK_BYTES, held_out, label_sample, texts
+from logsift.llm.common import CHUNK_BYTES, held_out, label_sample
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
