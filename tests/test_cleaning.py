@@ -203,3 +203,17 @@ def test_cleaning_takes_few_jobs(spark):
     n = len(sc.statusTracker().getJobIdsForGroup("clean-jobs"))
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert n <= 20 and "errors" not in vars(r)  # nothing is validated before the errors are asked for
+
+
+def test_hot_and_null_join_keys_are_split(spark):
+    from logsift.operators import label as L
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.lit("l").alias("v"))
+    right = spark.createDataFrame([(None, "n1"), (None, "n2"), ("hot", "h"), ("2", "two")], "k string, v string")
+    plain = L.join_metrics(left, right, ["k"])
+    split = L.join_metrics(left, right, ["k"], hot_rows=100)
+    assert split.columns == plain.columns == ["id", "k", "v_x", "v_y"]
+    rows = lambda d: sorted(map(str, map(tuple, d.collect())))
+    assert rows(split) == rows(plain) and len(rows(split)) == 2000 + 1000 + 1
+    a, b = L.split_hot_keys(left, right, ["k"], 100)
+    assert a.groupBy("k", "_part").count().agg(F.max("count")).first()[0] <= 200 and b.where("k is null").count() == 2 * 10
+    assert rows(L.join_metrics(left, right, ["k"], how="left", hot_rows=100)) == rows(L.join_metrics(left, right, ["k"], how="left"))
