@@ -32,8 +32,8 @@ THRESHOLD = 0.3
 #: Bytes around a window; dictionaries hold their typical words inside them.
 OPEN, CLOSE = b"\x02<< ", b" >>\x03"
 WORD = re.compile(r"[^\W\d_]+")
-#: Passages: words of one, words from one to the next, bytes of a dictionary, passages that train it at most.
-PASSAGE, STRIDE, PASSAGE_DICTIONARY, PASSAGES = 6, 3, 32_768, 60_000
+#: Passages: words of one, words from one to the next (two are shared, so three words in a row are whole in one), bytes of a dictionary, passages that train it at most.
+PASSAGE, STRIDE, PASSAGE_DICTIONARY, PASSAGES = 8, 6, 32_768, 60_000
 PASSAGE_GAINS = (2, 4, 6, 8, 10, 12, 15)
 RIDGES = (100.0, 30.0, 3.0, 0.05)
 

@@ -126,8 +126,8 @@ def test_toxicity_learns_phrases_of_ordinary_words():
 def test_a_passage_gain_is_the_difference_of_two_compressed_lengths():
     import zstandard
     model = toxicity.fit([("a bad thing was said " * 9 + str(i), 1) for i in range(40)] + [("the good thing was done " * 9 + str(i), 0) for i in range(40)])
-    words = "a bad thing was said by the good".split()
-    assert toxicity.passages(words) == [b" a bad thing was said by ", b" was said by the good "] and toxicity.passages([]) == []
+    words = "a bad thing was said a bad thing was said by the good".split()
+    assert toxicity.passages(words) == [b" a bad thing was said a bad thing ", b" bad thing was said by the good "] and toxicity.passages([]) == []
     got = toxicity.passage_scorer(model)(words)
     assert len(got) == 2 and got[0] > 0
     assert zstandard.ZstdCompressionDict(model.toxic_passages).as_bytes() == model.toxic_passages
