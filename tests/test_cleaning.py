@@ -217,3 +217,14 @@ def test_hot_and_null_join_keys_are_split(spark):
     a, b = L.split_hot_keys(left, right, ["k"], 100)
     assert a.groupBy("k", "_part").count().agg(F.max("count")).first()[0] <= 200 and b.where("k is null").count() == 2 * 10
     assert rows(L.join_metrics(left, right, ["k"], how="left", hot_rows=100)) == rows(L.join_metrics(left, right, ["k"], how="left"))
+
+
+def test_split_keys_repeat_no_more_rows_than_the_left_side_has(spark):
+    from logsift.operators import label as L
+    left = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    right = spark.range(600).select(F.col("id").alias("r"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    a, b = L.split_hot_keys(left, right, ["k"], 10)  # 1,500 and 300 rows without a key: 5 parts of 300, not 150 of 10
+    assert b.where("k is null").count() == 300 * 5 and b.where("k is not null").count() == 300
+    assert a.count() == 3000 and a.where("k is null").select("_part").distinct().count() == 5
+    got = L.join_metrics(left, right, ["k"], hot_rows=10)
+    assert got.count() == 1500 * 300 + 300 == got.select("id", "r").distinct().count()
