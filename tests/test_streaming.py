@@ -149,6 +149,26 @@ def test_outliers_come_from_the_bounds(spark):
     assert P.read_anomalies(spark, out).count() == 0
 
 
+def test_a_micro_batch_of_many_files_is_taken_whole(spark, monkeypatch):
+    import duckdb
+    import __spark_entry__ as E
+    from logsift.plans import stream_queries as S
+    monkeypatch.setattr(S, "ROWS_PER_FILE", 300)
+    monkeypatch.setattr(S, "_RUNS", {})
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF0001}/events.parquet'")
+    for name in ("stream_balance", "stream_dedup", "stream_quarantine", "stream_anomalies"):
+        got = E.queries()[name](spark, SF0001)
+        want = con.execute(E.oracle_sql()[name]).fetchall()
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)), name
+    out = next(iter(S._RUNS.values()))
+    route = P.Tables(out).route("accepted")
+    files = [len([n for n in P._names(spark, f"{route}/batch_id={b}") if n.endswith(".parquet")]) for b in P._numbers(spark, route, "batch_id")]
+    assert len(set(files)) == 1 and files[0] > 1  # the batch of the heartbeat alone has as many
+    rows = spark.read.parquet(f"{route}/batch_id=0").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert rows <= 2 * 300
+
+
 def test_null_server_is_no_grand_total(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00", None, "INFO"), ("2024-01-01 00:10:00", "a", "ERROR")],
                                "timestamp string, server_id string, log_level string").withColumn("timestamp", F.to_timestamp("timestamp"))
