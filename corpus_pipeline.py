@@ -32,8 +32,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+#: Bytes of a block of texts: its tasks hold the block's words beside what earlier stages have left in the executors, so less
+#: than by default, for more rows of words (a word has one in each block).
+ENCODING_BLOCK = 16 << 20
+
+
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(docs, tokenizer_file("word_bpe_49k.json").decode())
+    return bpe.encode_decode(docs, tokenizer_file("word_bpe_49k.json").decode(), block_bytes=ENCODING_BLOCK)
 
 
 STAGES = [

@@ -75,3 +75,18 @@ def test_parts_of_a_text_lose_nothing(monkeypatch):
         parts = list(bpe.parts_of(t))
         assert [w for p in parts for w in p.split()] == t.split()
         assert all(len(p) <= 7 + max(map(len, t.split()), default=0) for p in parts[:-1])
+
+
+def test_the_words_of_a_pipeline_block_take_bounded_memory():
+    import tracemalloc
+    import corpus_pipeline
+    from logsift.llm import bpe
+    size = getattr(corpus_pipeline, "ENCODING_BLOCK", bpe.BLOCK_BYTES)
+    skip = {b"common": b""}
+    text = b"%08d " + b"common " * 7
+    texts = [b"".join(text % i for i in range(at, at + 1000)) for at in range(0, size // 58, 1000)]
+    tracemalloc.start()
+    words = bpe.distinct_words(iter(texts), skip)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(words) == 1000 * len(texts) and words == sorted(set(words)) and peak < 60e6
