@@ -1,6 +1,10 @@
 """Streaming job = batch answer on the smallest scale; sinks and readers."""
 
+import hashlib
+import json
 import tempfile
+import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -224,3 +228,37 @@ def test_packed_tables_keep_a_bounded_number_of_files(spark):
     m = P._manifest(spark, path, 1)
     paths = [f"{path}_packed/{s['name']}" for s in m["segments"]] + [f"{path}/batch_id={n}" for n in P._numbers(spark, path, "batch_id") if n > m["upto"]]
     assert spark.read.parquet(*paths).count() == 3000
+
+
+def _files(folder, end):
+    return {p: p.stat().st_size for p in Path(str(folder).removeprefix("file:")).rglob(f"*{end}") if p.is_file()}
+
+
+def test_the_job_leaves_little_on_disk(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f: n for d in blocks.localDirsString() for f, n in _files(d, ".data").items()}
+    was, n = shuffles(), 3000
+    lines = [line(i, "2024-01-01T12:%02d:%02dZ" % (i // 60 % 60, i % 60), hashlib.sha256(b"%d" % i).hexdigest()[:60], i) for i in range(n)]
+    size, root = sum(map(len, lines)), tempfile.mkdtemp(prefix="logsift-disk-")
+    published(spark, f"{root}/src", [lines, END])
+    assert sum(_files(f"{root}/src", "").values()) < size / 2  # all that is published lies there at once
+    job = P.start(spark, P.read_source(spark, f"{root}/src", max_files_per_trigger=1, keep_source=False), f"{root}/out", f"{root}/ck",
+                  available_now=True, files_per_batch=1, state_partitions=1)
+    job.awaitTermination()
+    assert job.exception() is None and P.read_clean(spark, f"{root}/out").count() == n
+    left = lambda: sum(n for f, n in shuffles().items() if f not in was)
+    for _ in range(50):  # executors are told to remove them
+        if left() < size / 20:
+            break
+        time.sleep(0.1)
+    assert left() < size / 20
+    assert sum(_files(f"{root}/src", ".gz").values()) < size / 20  # what ingest has taken goes
+    assert 0 < sum(_files(f"{root}/ck/results/state", ".sst").values()) / n < 150
+
+
+def test_the_key_of_a_text_is_itself_or_its_digest(spark):
+    digest = hashlib.sha256(b"x" * 70).hexdigest()
+    texts = ["a", "a", "", "x" * 63, "x" * 64, "x" * 70, digest, None, None, "x" * 70]
+    raw = spark.createDataFrame([(json.dumps({"log_id": i, "timestamp": "2024-01-01T12:00:00Z", "pod_name": "p", "message": t}),) for i, t in enumerate(texts)], "value string")
+    kept = P.dedup_stream(P.decode(raw).drop("reason", "value"))
+    assert sorted((r["log_id"], r["copies"]) for r in kept.collect()) == [(0, 2), (2, 1), (3, 1), (4, 1), (5, 2), (6, 1), (7, 2)]
