@@ -228,3 +228,20 @@ def test_split_keys_repeat_no_more_rows_than_the_left_side_has(spark):
     assert a.count() == 3000 and a.where("k is null").select("_part").distinct().count() == 5
     got = L.join_metrics(left, right, ["k"], hot_rows=10)
     assert got.count() == 1500 * 300 + 300 == got.select("id", "r").distinct().count()
+
+
+def test_split_keys_get_tasks_by_their_pairs(spark, monkeypatch):
+    from logsift.operators import label as L
+    left = spark.range(800).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 8).alias("k"), F.lit("l").alias("v"))
+    right = spark.range(240).select(F.when(F.col("id") % 4 != 0, F.col("id") % 8).alias("k"), F.when(F.col("id") % 3 != 0, F.col("id")).alias("r"), F.lit("r").alias("v"))
+    right = right.where("k is null or k <> 2")  # a hot key that the right side has not
+    rows = lambda d: sorted(map(str, map(tuple, d.collect())))
+    monkeypatch.setattr(L, "TASK_PAIRS", 1000)
+    for how, null_safe in (("inner", True), ("left", False)):
+        plain = L.join_metrics(left, right, ["k"], how=how, null_safe=null_safe)
+        split = L.join_metrics(left, right, ["k"], how=how, null_safe=null_safe, hot_rows=50)
+        assert split.columns == plain.columns == ["id", "k", "v_x", "r", "v_y"] and rows(split) == rows(plain)
+    a, b = L.split_hot_keys(left, right, ["k"], 50)
+    assert a.where("k is null or k in (0, 2, 4, 6)").groupBy("_part").agg(F.count_distinct("k").alias("n"), F.count_if(F.col("k").isNull()).alias("o")).where("n + sign(o) > 1").isEmpty()
+    tasks = L.join_metrics(left, right, ["k"], hot_rows=50).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 400 * 60 + 100 * 30 and max(r["count"] for r in tasks) < 24000 / 2
